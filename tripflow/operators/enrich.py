@@ -56,7 +56,8 @@ def enrich_zone(
         raise ValueError(f"unsupported join type {how}")
     dim = zones.select(F.col(zone_key).try_cast(trips.schema[key].dataType).alias("_zone"), *columns)
     dim = dim.where(F.col("_zone").isNotNull())
+    small = fits_broadcast(dim, max_broadcast_bytes)
     if dedup_dim:
         dim = unique_zones(dim, "_zone", columns)
-    dim = F.broadcast(dim) if fits_broadcast(dim, max_broadcast_bytes) else dim.hint("rebalance")
+    dim = F.broadcast(dim) if small else dim.hint("rebalance")
     return trips.join(dim, F.col(key) == F.col("_zone"), how).drop("_zone")

@@ -10,6 +10,8 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.functions.casts import to_double
+
 # Settings of the published models.
 MAX_ITER, REG_PARAM, ELASTIC_NET = 10, 0.3, 0.8
 
@@ -32,7 +34,7 @@ def fit_price(
     """
     by = list(by)
     data = df.select(
-        *by, F.col(label).cast("double").alias("_y"), F.col(feature).cast("double").alias("_x")
+        *by, to_double(F.col(label)).alias("_y"), to_double(F.col(feature)).alias("_x")
     ).dropna(subset=["_y", "_x"])
     models = _closed_form(data, by, reg, alpha)
 
@@ -90,7 +92,7 @@ def fit_price_ml(
     alpha: float = ELASTIC_NET,
 ) -> LinearRegressionModel:
     """The same model as a Spark ML object, for one group."""
-    pairs = df.select(F.col(label).cast("double").alias("label"), F.col(feature).cast("double").alias("x"))
+    pairs = df.select(to_double(F.col(label)).alias("label"), to_double(F.col(feature)).alias("x"))
     rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(pairs.dropna())
     return LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=alpha).fit(
         rows.select("label", "features")

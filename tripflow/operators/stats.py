@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripflow.functions.casts import to_double
 from tripflow.session import scratch_path
 from tripflow.sources.readers import read_table
 from tripflow.sources.writers import write_table
@@ -30,45 +31,35 @@ def correlation_screen(df: DataFrame, label: str, features: Sequence[str]) -> Da
 
 def _pearson(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     """All features in one pass over the data."""
-    y = F.col(label).cast("double")
+    y = to_double(F.col(label))
     rows = []
     for f in features:
-        x = F.col(f).cast("double")
+        x = to_double(F.col(f))
         n = F.count_if(y.isNotNull() & x.isNotNull()).alias("n")
         rows.append(F.struct(F.lit(f).alias("feature"), n, F.corr(y, x).alias("pearson")))
     return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
 
 
-def _spearman(df: DataFrame, label: str, features: Sequence[str], buckets: int = 256) -> DataFrame:
+def _spearman(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     """Pearson correlation of average ranks, exact and without a global sort.
 
-    Equal pairs are counted first, so ties cost nothing however many rows they hold.
-    A value's average rank follows from the number of rows below it: a running sum over
-    the distinct values, taken within value ranges and lifted by the totals of the
-    ranges before. Range bounds are quantiles of the *distinct* values, so no range is
-    large because of one frequent value; they only balance the work and do not change
-    the result. Pair counts are written once to the shared scratch folder, because all
-    later steps read them and must see the same data.
+    Equal pairs are counted first, so ties cost nothing however many rows they hold, and
+    the average rank of a value follows from the number of rows below it. The counts are
+    written once to the shared scratch folder, since every later step reads them.
     """
-    y = F.col(label).cast("double")
-    entries = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features]
-    path = scratch_path(df.sparkSession, "pair_counts")
-    write_table(
+    y = to_double(F.col(label))
+    entries = [F.struct(F.lit(f).alias("feature"), to_double(F.col(f)).alias("x")) for f in features]
+    pairs = _stored(
         df.select(y.alias("y"), F.inline(F.array(*entries)))
         .dropna(subset=["x", "y"])
         .groupBy("feature", "x", "y")
         .agg(F.count("*").alias("w")),
-        path,
+        "pair_counts",
     )
-    pairs = read_table(df.sparkSession, path)
-
     sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("v")) for s in "xy"])
-    values = (
-        pairs.select("feature", "w", F.inline(sides))
-        .groupBy("feature", "side", "v")
-        .agg(F.sum("w").alias("w"))
+    ranks = _average_ranks(
+        pairs.select("feature", "w", F.inline(sides)).groupBy("feature", "side", "v").agg(F.sum("w").alias("w"))
     )
-    ranks = _average_ranks(values, buckets)
     for s in "xy":
         side = ranks.where(F.col("side") == s).select("feature", F.col("v").alias(s), F.col("rank").alias(f"r{s}"))
         pairs = pairs.join(side, ["feature", s])
@@ -80,32 +71,42 @@ def _spearman(df: DataFrame, label: str, features: Sequence[str], buckets: int =
     )
 
 
-def _average_ranks(values: DataFrame, buckets: int) -> DataFrame:
-    """``feature, side, v, rank`` with ranks centred on zero, from ``feature, side, v, w``."""
+def _average_ranks(values: DataFrame) -> DataFrame:
+    """``feature, side, v, rank``, ranks centred on zero, from distinct values and counts.
+
+    The number of rows below a value is a running sum inside its value range plus the
+    totals of the ranges before. Spark's range partitioning makes the ranges: it balances
+    *distinct* values, so none is large because of one frequent value. The range numbers
+    are stored with the values, as they must not change between the two uses.
+    """
     group = ["feature", "side"]
-    quantiles = [i / buckets for i in range(1, buckets)]
-    # One row per feature and side with `buckets` bounds each: fetched, so that every
-    # step below uses the very same bounds.
-    bounds = values.groupBy(*group).agg(F.percentile_approx("v", quantiles).alias("bounds"))
-    bounds = values.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
-    placed = values.join(F.broadcast(bounds), group).select(
-        *group, "v", "w", F.size(F.filter("bounds", lambda b: b < F.col("v"))).alias("bucket")
-    )
-    # At most `buckets` rows per feature and side.
-    totals = placed.groupBy(*group, "bucket").agg(F.sum("w").alias("total"))
-    everything = Window.partitionBy(*group)
-    upto = everything.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = totals.select(
-        *group,
-        "bucket",
-        (F.sum("total").over(upto) - F.col("total")).alias("below"),
-        F.sum("total").over(everything).alias("n"),
+    ranged = values.repartitionByRange(*group, "v").withColumn("part", F.spark_partition_id())
+    values = _stored(ranged, "value_counts")
+    upto_now = (Window.unboundedPreceding, Window.currentRow)
+    # One row per range: as few as the shuffle has partitions.
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("part").rowsBetween(*upto_now)
+    totals = (
+        values.groupBy(*group, "part")
+        .agg(F.sum("w").alias("total"))
+        .select(
+            *group,
+            "part",
+            (F.sum("total").over(before) - F.col("total")).alias("below"),
+            F.sum("total").over(whole).alias("n"),
+        )
     )
-    running = (
-        Window.partitionBy(*group, "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    inside = placed.withColumn("upto", F.sum("w").over(running))
+    inside = Window.partitionBy(*group, "part").orderBy("v").rowsBetween(*upto_now)
     rank = F.col("below") + F.col("upto") - (F.col("w") - 1) / 2
-    return inside.join(F.broadcast(totals), [*group, "bucket"]).select(
-        *group, "v", (rank - (F.col("n") + 1) / 2).alias("rank")
+    return (
+        values.withColumn("upto", F.sum("w").over(inside))
+        .join(F.broadcast(totals), [*group, "part"])
+        .select(*group, "v", (rank - (F.col("n") + 1) / 2).alias("rank"))
     )
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """The table read back from the shared scratch folder."""
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path)
+    return read_table(df.sparkSession, path)

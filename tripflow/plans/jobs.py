@@ -216,13 +216,25 @@ def _heat_slice(df: DataFrame, day: date) -> DataFrame:
     return located(project_metered(one_day(df, day)))
 
 
-def borough_prices(
-    green: DataFrame, yellow: DataFrame, zones: DataFrame, numeric: bool = False, dedup_dim: bool = True
-) -> DataFrame:
-    """Mean fare and distance per ten minutes, borough and type of cleaned trips."""
+def warehouse_regression(green: DataFrame, yellow: DataFrame, numeric: bool = False) -> DataFrame:
+    """Fare on distance of cleaned warehouse trips, one model per type.
+
+    Both types come in by the same definition: cleaned, with a usable price.
+    """
+    return fit_price(_priced(green, yellow, numeric), "fare_amount", "trip_distance", by=["taxi_type"])
+
+
+def _priced(green: DataFrame, yellow: DataFrame, numeric: bool) -> DataFrame:
     parts = [
         tag(priceable(df, numeric=numeric), taxi_type=WAREHOUSE_TYPES[t])
         for t, df in (("green", green), ("yellow", yellow))
     ]
-    trips = zoned(union_all(parts, fold_case=False), zones, "pickup_location_id", dedup_dim)
+    return union_all(parts, fold_case=False)
+
+
+def borough_prices(
+    green: DataFrame, yellow: DataFrame, zones: DataFrame, numeric: bool = False, dedup_dim: bool = True
+) -> DataFrame:
+    """Mean fare and distance per ten minutes, borough and type of cleaned trips."""
+    trips = zoned(_priced(green, yellow, numeric), zones, "pickup_location_id", dedup_dim)
     return bucket_prices(trips)

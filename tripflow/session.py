@@ -4,19 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 # What the jobs assume. All of these are SQL settings a running session may change.
 #  * UTC: pickup times are local wall-clock times and must not be shifted.
 #  * AQE: splits skewed join partitions and merges small output partitions.
-#  * parallelismFirst off: merged partitions reach the advisory size, so a small
-#    result becomes one file and a large one becomes evenly sized files.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 
@@ -27,6 +26,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """One session setting for the length of an action."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +34,7 @@ def read_trips_csv(
     if schema is not None:
         return _read_group(spark, paths, schema.fieldNames(), with_file)
 
-    files = sorted(spark.read.text(paths).inputFiles())
+    files = sorted(_as_path(uri) for uri in spark.read.text(paths).inputFiles())
 
     def header(path: str) -> tuple[str, ...]:
         return tuple(spark.read.option("header", True).csv(path).columns)
@@ -49,6 +51,11 @@ def read_trips_csv(
     return frames[0] if len(frames) == 1 else union_all(frames, fold_case=False)
 
 
+def _as_path(uri: str) -> str:
+    """A listed file as a path to read: no URI escapes, and nothing taken for a glob."""
+    return re.sub(r"([*?\[\]{}])", r"\\\1", unquote(uri))
+
+
 def _read_group(
     spark: SparkSession, paths: Sequence[str], columns: Sequence[str], with_file: bool
 ) -> DataFrame:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tripflow.session import setting
+
 
 def write_table(
     df: DataFrame,
@@ -17,17 +20,17 @@ def write_table(
 ) -> None:
     """Parquet sink.
 
-    ``compact`` asks Spark to rebalance the output: partitions below the advisory size
-    are merged and larger ones split, so a small aggregate lands in a single file while
-    a table of any size never passes through one task. With ``partition_by`` the rows
-    of one folder are brought together the same way.
+    ``compact`` lets Spark rebalance the output to files of the advisory size: a small
+    aggregate lands in a single file, while a table of any size never passes through
+    one task. With ``partition_by`` the rows of one folder are brought together so, and
+    a folder too large for one file gets several.
     """
-    if compact:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode)
+    writer = (df.hint("rebalance", *partition_by) if compact else df).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    merge = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    with setting(df.sparkSession, merge, "false") if compact else nullcontext():
+        writer.parquet(path)
 
 
 def write_pairs_csv(df: DataFrame, path: str, label: str | Column, feature: str | Column) -> None:
