@@ -28,9 +28,9 @@ def fit_price(
     """One model per group: the ``by`` columns, ``n, slope, intercept, r2, rmse, mae``.
 
     With one feature the elastic net has a closed form in the first two moments, so all
-    groups are fitted in one aggregation. The mean absolute error needs a second pass
-    with the coefficients at hand: up to ``max_local_groups`` of them are sent to the
-    tasks, more are joined by a shuffle. Rows with a NULL label or feature are left out.
+    groups are fitted in one aggregation. The errors take a second pass with the
+    coefficients at hand: up to ``max_local_groups`` of them are sent to the tasks, more
+    are joined by a shuffle. Rows with a NULL label or feature are left out.
     """
     by = list(by)
     data = df.select(
@@ -41,20 +41,22 @@ def fit_price(
     local = models.limit(max_local_groups + 1).collect()
     if len(local) <= max_local_groups:
         models = F.broadcast(df.sparkSession.createDataFrame(local, models.schema))
+    coefficients = ["n", "slope", "intercept", "sy"]
     if by:
-        keyed = models.select(*[F.col(c).alias(f"_{c}") for c in by], "slope", "intercept")
+        keyed = models.select(*[F.col(c).alias(f"_{c}") for c in by], *coefficients)
         same_group = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
         scored = data.join(keyed, same_group)
     else:
-        scored = data.withColumns({c: F.lit(local[0][c]).cast("double") for c in ("slope", "intercept")})
+        kinds = dict(models.dtypes)
+        scored = data.withColumns({c: F.lit(local[0][c]).cast(kinds[c]) for c in coefficients})
     residual = F.col("_y") - F.col("slope") * F.col("_x") - F.col("intercept")
-    errors = scored.groupBy(*by).agg(F.avg(F.abs(residual)).alias("mae"))
-
-    out = [*by, "n", "slope", "intercept", "r2", "rmse", "mae"]
-    if not by:
-        return errors.select(*[F.lit(local[0][c]).alias(c) for c in out[:-1]], "mae")
-    keyed = errors.select(*[F.col(c).alias(f"_{c}") for c in by], "mae")
-    return models.join(keyed, same_group).select(*out)
+    errors = scored.groupBy(*by).agg(
+        *[F.max(c).alias(c) for c in coefficients],
+        F.avg(residual * residual).alias("mse"),
+        F.avg(F.abs(residual)).alias("mae"),
+    )
+    r2 = 1 - F.try_divide(F.col("mse"), F.col("sy") ** 2)
+    return errors.select(*by, "n", "slope", "intercept", r2.alias("r2"), F.sqrt("mse").alias("rmse"), "mae")
 
 
 def _closed_form(data: DataFrame, by: Sequence[str], reg: float, alpha: float) -> DataFrame:
@@ -72,14 +74,8 @@ def _closed_form(data: DataFrame, by: Sequence[str], reg: float, alpha: float) -
     r = cov / (sx * sy)
     shrunk = F.signum(r) * F.greatest(F.abs(r) - alpha * reg / sy, F.lit(0.0)) / (1 + (1 - alpha) * reg / sy)
     slope = F.when((sx > 0) & (sy > 0), shrunk * sy / sx).otherwise(F.lit(0.0))
-    mse = F.greatest(sy * sy - 2 * F.col("slope") * cov + F.col("slope") ** 2 * sx * sx, F.lit(0.0))
     return moments.withColumn("slope", slope).select(
-        *by,
-        "n",
-        "slope",
-        (F.col("my") - F.col("slope") * F.col("mx")).alias("intercept"),
-        (1 - F.try_divide(mse, sy * sy)).alias("r2"),
-        F.sqrt(mse).alias("rmse"),
+        *by, "n", "slope", (F.col("my") - F.col("slope") * F.col("mx")).alias("intercept"), "sy"
     )
 
 
