@@ -922,6 +922,30 @@ def q_correlation_screen(spark, d):
     return _rounded(found, "pearson", "spearman", places=6)
 
 
+@_query(
+    "correlations",
+    f"""
+WITH {_PINGS}, m AS (
+  SELECT * FROM pings
+  WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-15' AND taxi_type IN ('green', 'yellow')
+    AND lon < 0 AND lat > 0 AND passenger_count > 0 AND fare_amount > 0),
+r AS (
+  SELECT *,
+    rank() OVER (ORDER BY fare_amount) + (count(*) OVER (PARTITION BY fare_amount) - 1) / 2.0 AS ry,
+    rank() OVER (ORDER BY trip_distance) + (count(*) OVER (PARTITION BY trip_distance) - 1) / 2.0 AS rd,
+    rank() OVER (ORDER BY lat) + (count(*) OVER (PARTITION BY lat) - 1) / 2.0 AS rlat,
+    rank() OVER (ORDER BY lon) + (count(*) OVER (PARTITION BY lon) - 1) / 2.0 AS rlon
+  FROM m)
+SELECT 'Fare_amount' AS label, 'Trip_distance' AS feature, count(*) AS n,
+  round(corr(fare_amount, trip_distance), 6) AS pearson, round(corr(ry, rd), 6) AS spearman FROM r
+UNION ALL SELECT 'Fare_amount', 'Pickup_latitude', count(*), round(corr(fare_amount, lat), 6), round(corr(ry, rlat), 6) FROM r
+UNION ALL SELECT 'Fare_amount', 'Pickup_longitude', count(*), round(corr(fare_amount, lon), 6), round(corr(ry, rlon), 6) FROM r""",
+)
+def q_correlations(spark, d):
+    month = jobs.month_map(pings(spark, d), datetime(2024, 1, 5), datetime(2024, 1, 15))
+    return _rounded(jobs.correlations(month), "pearson", "spearman", places=6)
+
+
 def _fit_sql(source: str, key: str = "taxi_type") -> str:
     """Closed form of the elastic net (penalty 0.3, mixing 0.8) on columns x and y by key."""
     return f"""
@@ -977,6 +1001,19 @@ def q_price_regression(spark, d):
     return _rounded(models, *_METRICS)
 
 
+@_query(
+    "warehouse_regression",
+    f"WITH {_PINGS}, "
+    + _fit_sql(
+        """SELECT CASE taxi_type WHEN 'green' THEN 'Green' ELSE 'Yellow' END AS taxi_type, fare_amount AS y, trip_distance AS x
+  FROM pings WHERE taxi_type IN ('green', 'yellow') AND fare_amount >= 1 AND trip_distance >= 1"""
+    ),
+)
+def q_warehouse_regression(spark, d):
+    green, yellow = (jobs.clean_metered({2018: _warehouse_pings(spark, d, t)}, t) for t in ("green", "yellow"))
+    return _rounded(jobs.warehouse_regression(green, yellow), *_METRICS)
+
+
 # --- contract -----------------------------------------------------------------------
 
 

@@ -30,7 +30,8 @@ def fit_price(
     With one feature the elastic net has a closed form in the first two moments, so all
     groups are fitted in one aggregation. The errors take a second pass with the
     coefficients at hand: up to ``max_local_groups`` of them are sent to the tasks, more
-    are joined by a shuffle. Rows with a NULL label or feature are left out.
+    are joined by a shuffle. Rows whose label or feature is NULL or NaN are
+    left out.
     """
     by = list(by)
     data = df.select(

@@ -51,7 +51,7 @@ def _spearman(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     entries = [F.struct(F.lit(f).alias("feature"), to_double(F.col(f)).alias("x")) for f in features]
     pairs = _stored(
         df.select(y.alias("y"), F.inline(F.array(*entries)))
-        .dropna(subset=["x", "y"])
+        .where(F.col("x").isNotNull() & F.col("y").isNotNull())
         .groupBy("feature", "x", "y")
         .agg(F.count("*").alias("w")),
         "pair_counts",
