@@ -272,6 +272,16 @@ def _query(name: str, sql: str | None):
     return register
 
 
+def _rounded(df: DataFrame, *cols: str, places: int = 4) -> DataFrame:
+    """Rounds by way of nine exact decimals, so that a tie is a tie in both engines."""
+    exact = {c: F.col(c).cast("decimal(24,9)") for c in cols}
+    return df.withColumns({c: F.round(v, places).cast("double") for c, v in exact.items()})
+
+
+def _round(expression: str, places: int = 4) -> str:
+    return f"CAST(round(CAST({expression} AS DECIMAL(24, 9)), {places}) AS DOUBLE)"
+
+
 _DAILY_SQL = f"""
 WITH {_TRIPS}
 SELECT CAST(CAST(pickup_ts AS DATE) AS TIMESTAMP) AS "Pickup_DateDay", borough, taxi_type,
@@ -403,7 +413,7 @@ def q_heat_one_day(spark, d):
     f"""
 WITH {_PINGS}
 SELECT substr(strftime(ts, '%Y-%m-%d %H:%M'), 1, 15) AS pickup_datetime, borough, taxi_type,
-  round(avg(fare_amount), 4) AS fare_amount_avg, round(avg(trip_distance), 4) AS trip_distance_avg
+  {_round('avg(fare_amount)')} AS fare_amount_avg, {_round('avg(trip_distance)')} AS trip_distance_avg
 FROM pings JOIN zones ON location_id = zone_id
 GROUP BY 1, 2, 3""",
 )
@@ -416,17 +426,13 @@ def q_bucket_prices(spark, d):
     )
 
 
-def _rounded(df: DataFrame, *cols: str, places: int = 4) -> DataFrame:
-    return df.withColumns({c: F.round(c, places) for c in cols})
-
-
 @_query(
     "borough_prices",
     f"""
 WITH {_PINGS}
 SELECT substr(strftime(ts, '%Y-%m-%d %H:%M'), 1, 15) AS pickup_datetime, borough,
   CASE taxi_type WHEN 'green' THEN 'Green' ELSE 'Yellow' END AS taxi_type,
-  round(avg(fare_amount), 4) AS fare_amount_avg, round(avg(trip_distance), 4) AS trip_distance_avg
+  {_round('avg(fare_amount)')} AS fare_amount_avg, {_round('avg(trip_distance)')} AS trip_distance_avg
 FROM pings JOIN (SELECT zone_id, CASE borough WHEN 'ASIA' THEN 'Queens' WHEN 'AFRICA' THEN 'Bronx' ELSE 'Brooklyn' END AS borough
                  FROM zones) ON location_id = zone_id
 WHERE taxi_type IN ('green', 'yellow') AND fare_amount >= 1 AND trip_distance >= 1
@@ -892,7 +898,7 @@ WITH {_TRIPS}, r AS (
     f"""
 WITH {_TRIPS}
 SELECT 'Fare_amount' AS label, 'Trip_distance' AS feature, 'pearson' AS method, count(*) AS n,
-  round(corr(fare_amount, trip_distance), 6) AS correlation FROM trips""",
+  {_round('corr(fare_amount, trip_distance)', 6)} AS correlation FROM trips""",
 )
 def q_pearson(spark, d):
     found = correlate(trips(spark, d), "Fare_amount", "Trip_distance")
@@ -902,8 +908,8 @@ def q_pearson(spark, d):
 @_query(
     "spearman",
     _RANKED
-    + """SELECT 'Fare_amount' AS label, 'Trip_distance' AS feature, 'spearman' AS method, count(*) AS n,
-  round(corr(ry, r1), 6) AS correlation FROM r""",
+    + f"""SELECT 'Fare_amount' AS label, 'Trip_distance' AS feature, 'spearman' AS method, count(*) AS n,
+  {_round('corr(ry, r1)', 6)} AS correlation FROM r""",
 )
 def q_spearman(spark, d):
     found = correlate(trips(spark, d), "Fare_amount", "Trip_distance", "spearman")
@@ -913,9 +919,9 @@ def q_spearman(spark, d):
 @_query(
     "correlation_screen",
     _RANKED
-    + """SELECT 'Fare_amount' AS label, 'Trip_distance' AS feature, count(*) AS n,
-  round(corr(y, x1), 6) AS pearson, round(corr(ry, r1), 6) AS spearman FROM r
-UNION ALL SELECT 'Fare_amount', 'Passenger_count', count(*), round(corr(y, x2), 6), round(corr(ry, r2), 6) FROM r""",
+    + f"""SELECT 'Fare_amount' AS label, 'Trip_distance' AS feature, count(*) AS n,
+  {_round('corr(y, x1)', 6)} AS pearson, {_round('corr(ry, r1)', 6)} AS spearman FROM r
+UNION ALL SELECT 'Fare_amount', 'Passenger_count', count(*), {_round('corr(y, x2)', 6)}, {_round('corr(ry, r2)', 6)} FROM r""",
 )
 def q_correlation_screen(spark, d):
     found = correlation_screen(trips(spark, d), "Fare_amount", ["Trip_distance", "Passenger_count"])
@@ -937,9 +943,9 @@ r AS (
     rank() OVER (ORDER BY lon) + (count(*) OVER (PARTITION BY lon) - 1) / 2.0 AS rlon
   FROM m)
 SELECT 'Fare_amount' AS label, 'Trip_distance' AS feature, count(*) AS n,
-  round(corr(fare_amount, trip_distance), 6) AS pearson, round(corr(ry, rd), 6) AS spearman FROM r
-UNION ALL SELECT 'Fare_amount', 'Pickup_latitude', count(*), round(corr(fare_amount, lat), 6), round(corr(ry, rlat), 6) FROM r
-UNION ALL SELECT 'Fare_amount', 'Pickup_longitude', count(*), round(corr(fare_amount, lon), 6), round(corr(ry, rlon), 6) FROM r""",
+  {_round('corr(fare_amount, trip_distance)', 6)} AS pearson, {_round('corr(ry, rd)', 6)} AS spearman FROM r
+UNION ALL SELECT 'Fare_amount', 'Pickup_latitude', count(*), {_round('corr(fare_amount, lat)', 6)}, {_round('corr(ry, rlat)', 6)} FROM r
+UNION ALL SELECT 'Fare_amount', 'Pickup_longitude', count(*), {_round('corr(fare_amount, lon)', 6)}, {_round('corr(ry, rlon)', 6)} FROM r""",
 )
 def q_correlations(spark, d):
     month = jobs.month_map(pings(spark, d), datetime(2024, 1, 5), datetime(2024, 1, 15))
@@ -954,10 +960,10 @@ a AS (SELECT {key}, count(*) AS n, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS
         corr(y, x) AS r FROM s GROUP BY {key}),
 b AS (SELECT *, sign(r) * greatest(abs(r) - 0.24 / sy, 0) / (1 + 0.06 / sy) * sy / sx AS slope FROM a),
 c AS (SELECT *, my - slope * mx AS intercept FROM b)
-SELECT c.{key}, any_value(c.n) AS n, round(any_value(slope), 4) AS slope, round(any_value(intercept), 4) AS intercept,
-  round(1 - avg((y - slope * x - intercept) ** 2) / any_value(sy * sy), 4) AS r2,
-  round(sqrt(avg((y - slope * x - intercept) ** 2)), 4) AS rmse,
-  round(avg(abs(y - slope * x - intercept)), 4) AS mae
+SELECT c.{key}, any_value(c.n) AS n, {_round('any_value(slope)')} AS slope, {_round('any_value(intercept)')} AS intercept,
+  {_round('1 - avg((y - slope * x - intercept) ** 2) / any_value(sy * sy)')} AS r2,
+  {_round('sqrt(avg((y - slope * x - intercept) ** 2))')} AS rmse,
+  {_round('avg(abs(y - slope * x - intercept))')} AS mae
 FROM s JOIN c USING ({key}) GROUP BY c.{key}"""
 
 
