@@ -15,6 +15,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("tripflow-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tripflow-warehouse-"))

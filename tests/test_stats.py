@@ -3,10 +3,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tests.plans import SMALL_SKEW, settings
+from tests.plans import SMALL_SKEW, final_plan, settings
 from tripflow.operators.regress import fit_price, fit_price_ml, model_metrics
 from tripflow.operators.sample import hash_sample, sample_rows
-from tripflow.operators.stats import correlate, correlation_screen
+from tripflow.operators.stats import _spearman, correlate, correlation_screen
 
 
 def average_rank_correlation(frame, a, b):
@@ -117,3 +117,16 @@ def test_samples(spark, data, rows):
     assert 0.05 < one.count() / orders.count() < 0.15
     assert hash_sample(orders, "o_orderkey", fraction=1.0).count() == orders.count()
     assert 0.05 < sample_rows(orders).count() / orders.count() < 0.15
+
+
+def test_hot_value_is_split_in_the_rank_joins(spark):
+    """A third of all pairs share one value of the feature, each with its own label."""
+    rng = np.random.default_rng(9)
+    n = 120_000
+    frame = pd.DataFrame({"y": rng.random(n), "x": np.where(np.arange(n) % 3 == 0, 0.5, rng.integers(0, 5000, n) / 5000)})
+    df = spark.createDataFrame(frame).repartition(16)
+    with settings(spark, {**SMALL_SKEW, "spark.sql.files.maxPartitionBytes": "200KB"}):
+        result = _spearman(df, "y", ["x"])
+        text = final_plan(result)
+        assert "SortMergeJoin(skew=true)" in text
+        assert result.first()["spearman"] == pytest.approx(average_rank_correlation(frame, "y", "x"), abs=1e-10)
