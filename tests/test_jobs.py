@@ -74,6 +74,11 @@ def test_unify_all_years(spark, raw_files, zones, tmp_path):
     one_year = read_table(spark, path).where("taxi_type = 'green' AND year = 2015")
     assert "PartitionFilters: [isnotnull" in plan(jobs.daily_counts(one_year))
 
+    february = jobs.month_map(stored, datetime(2015, 2, 1), datetime(2015, 3, 1))
+    assert february.count() == 6  # the February file of both metered types holds three rows of 2015 each
+    partition_filters = plan(february).split("PartitionFilters: ")[1].split("\n")[0]
+    assert "year#" in partition_filters and "taxi_type#" in partition_filters
+
     kept = jobs.unify_trips(spark, {("fhv", 2016): raw_files[("fhv", 2016)]}, zones, dedup_dim=False)
     assert kept.where("locationID = 56").count() == 4  # two trips, each twice
 

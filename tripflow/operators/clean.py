@@ -141,11 +141,12 @@ def regression_input(
     hi: datetime | date,
     types: Sequence[str] = METERED,
     above: float = 1.0,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Metered trips of a period with distance and fare above a bound."""
+    """Type, fare and distance (and ``keep``) of metered trips of a period above a bound."""
     df = in_period(metered_only(df, types), lo, hi)
     df = df.where((F.col("Trip_distance") > above) & (F.col("Fare_amount") > above))
-    return df.select("taxi_type", "Fare_amount", "Trip_distance")
+    return df.select("taxi_type", "Fare_amount", "Trip_distance", *keep)
 
 
 def type_fact(df: DataFrame) -> DataFrame:

@@ -47,8 +47,11 @@ def _spearman(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     the average rank of a value follows from the number of rows below it. The counts are
     written once to the shared scratch folder, since every later step reads them.
     """
+    # Features and sides travel as small numbers: they are part of every shuffled key.
     y = to_double(F.col(label))
-    entries = [F.struct(F.lit(f).alias("feature"), to_double(F.col(f)).alias("x")) for f in features]
+    entries = [
+        F.struct(F.lit(i).alias("feature"), to_double(F.col(f)).alias("x")) for i, f in enumerate(features)
+    ]
     pairs = _stored(
         df.select(y.alias("y"), F.inline(F.array(*entries)))
         .where(F.col("x").isNotNull() & F.col("y").isNotNull())
@@ -56,19 +59,21 @@ def _spearman(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
         .agg(F.count("*").alias("w")),
         "pair_counts",
     )
-    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("v")) for s in "xy"])
+    sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(s).alias("v")) for i, s in enumerate("xy")])
     ranks = _average_ranks(
         pairs.select("feature", "w", F.inline(sides)).groupBy("feature", "side", "v").agg(F.sum("w").alias("w"))
     )
-    for s in "xy":
-        side = ranks.where(F.col("side") == s).select("feature", F.col("v").alias(s), F.col("rank").alias(f"r{s}"))
+    for i, s in enumerate("xy"):
+        side = ranks.where(F.col("side") == i).select("feature", F.col("v").alias(s), F.col("rank").alias(f"r{s}"))
         pairs = pairs.join(side, ["feature", s])
     # Ranks arrive centred on their known mean, so nothing cancels in these sums.
     w, rx, ry = F.col("w"), F.col("rx"), F.col("ry")
     spread = F.sqrt(F.sum(w * rx * rx)) * F.sqrt(F.sum(w * ry * ry))
-    return pairs.groupBy("feature").agg(
+    found = pairs.groupBy("feature").agg(
         F.sum("w").alias("n"), F.try_divide(F.sum(w * rx * ry), spread).alias("spearman")
     )
+    names = F.array(*[F.lit(f) for f in features])
+    return found.withColumn("feature", names[F.col("feature")])
 
 
 def _average_ranks(values: DataFrame) -> DataFrame:

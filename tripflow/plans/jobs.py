@@ -6,7 +6,7 @@ Each job returns a lazy DataFrame; writing is left to ``sources.writers``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +71,17 @@ def with_year(total: DataFrame) -> DataFrame:
     return total.withColumn("year", F.year("Pickup_datetime"))
 
 
+def _years_of(total: DataFrame, lo: date, hi: date) -> DataFrame:
+    """Limits a fact table partitioned by ``with_year`` to the folders a period can touch.
+
+    A day on either side allows for a session time zone other than the writer's.
+    """
+    if "year" not in total.columns:
+        return total
+    day = timedelta(days=1)
+    return total.where(F.col("year").between((lo - day).year, (hi + day).year))
+
+
 def daily_counts(total: DataFrame) -> DataFrame:
     """Business per day, borough and taxi type."""
     return daily_business(total)
@@ -84,7 +95,7 @@ def month_map(
     minutes: int = 10,
 ) -> DataFrame:
     """Positions and prices of metered trips of a period, by ten minutes, for a map."""
-    trips = valid_geo(metered_only(in_period(total, lo, hi), types))
+    trips = valid_geo(metered_only(in_period(_years_of(total, lo, hi), lo, hi), types))
     start = bucket_ts(F.col("Pickup_datetime"), minutes)
     return trips.withColumn("Pickup_DataTimeTenMins", start).select(*MONTH_MAP.fieldNames())
 
@@ -114,12 +125,9 @@ def price_regression(
     uses all rows. ``via_csv`` writes the pairs of each type below that folder first and
     fits on what is read back.
     """
-    source = total
-    if fraction is not None and sample_key:
-        source = hash_sample(source, *sample_key, fraction=fraction)
-    trips = regression_input(source, lo, hi, types)
-    if fraction is not None and not sample_key:
-        trips = sample_rows(trips, fraction, seed)
+    trips = regression_input(_years_of(total, lo, hi), lo, hi, types, keep=sample_key)
+    if fraction is not None:
+        trips = hash_sample(trips, *sample_key, fraction=fraction) if sample_key else sample_rows(trips, fraction, seed)
     if via_csv:
         trips = _through_csv(trips, types, via_csv)
     return fit_price(trips, by=["taxi_type"])
