@@ -560,8 +560,7 @@ def q_header_drift(spark, d):
 
 @_query(
     "trim_headers",
-    """
-SELECT s_suppkey AS " id", s_name AS name FROM supplier""".replace('" id"', '"id"'),
+    "SELECT s_suppkey AS id, s_name AS name FROM supplier",
 )
 def q_trim_headers(spark, d):
     return trim_headers(_table(spark, d, "supplier").selectExpr("s_suppkey AS ` id`", "s_name AS `name `"))

@@ -56,6 +56,12 @@ def test_unused_csv_columns_are_not_parsed(spark, tmp_path, rows):
     assert "ReadSchema: struct<a:string>" in plan(df)
 
 
+def test_ragged_rows_and_blank_lines(spark, tmp_path, rows):
+    folder = put(tmp_path / "d", one="a,b\n\n1,2,,\n3\n4,\"x, y\"\n", two="a,b\r\n5,6\r\n")
+    assert rows(read_trips_csv(spark, folder)) == sorted([("1", "2"), ("3", None), ("4", "x, y"), ("5", "6")], key=str)
+    assert rows(read_trips_csv(spark, folder).select("b")) == sorted([("2",), (None,), ("x, y",), ("6",)], key=str)
+
+
 def test_zone_file(spark, tmp_path, rows):
     path = put(tmp_path / "z", zones="zone_id,borough\n56,Queens\n56,Queens\n3,Bronx\n")
     assert rows(read_zones(spark, path)) == [("3", "Bronx"), ("56", "Queens"), ("56", "Queens")]

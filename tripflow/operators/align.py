@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from tripflow.sources.schemas import CANONICAL, CITY, layout_for
 
+# Columns of the warehouse tables.
 FHV_COLUMNS = ["location_id", "pickup_datetime", "borough", "zone", "service_zone"]
 METERED_COLUMNS = [
     "vendor_id",
