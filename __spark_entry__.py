@@ -869,7 +869,7 @@ def q_preview(spark, d):
 
 @_query(
     "hash_sample",
-    "SELECT o_orderkey FROM orders WHERE ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT % 10000 < 1000",
+    "SELECT o_orderkey FROM orders WHERE ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT < 0.1 * 4294967296",
 )
 def q_hash_sample(spark, d):
     return hash_sample(_table(spark, d, "orders"), "o_orderkey", fraction=0.1).select("o_orderkey")
@@ -992,7 +992,7 @@ def q_fit_price_ml(spark, d):
         """SELECT taxi_type, fare_amount AS y, trip_distance AS x FROM trips
   WHERE taxi_type IN ('green', 'yellow') AND pickup_ts BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1999-12-31'
     AND trip_distance > 1 AND fare_amount > 1
-    AND ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT % 10000 < 1000"""
+    AND ('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT < 0.1 * 4294967296"""
     ),
 )
 def q_price_regression(spark, d):

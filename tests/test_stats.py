@@ -116,6 +116,9 @@ def test_samples(spark, data, rows):
     assert rows(one) == rows(many)
     assert 0.05 < one.count() / orders.count() < 0.15
     assert hash_sample(orders, "o_orderkey", fraction=1.0).count() == orders.count()
+    assert hash_sample(orders, "o_orderkey", fraction=0.0).count() == 0
+    half = hash_sample(orders, "o_orderkey", fraction=0.5)
+    assert one.exceptAll(half).count() == 0 and 0.45 < half.count() / orders.count() < 0.55
     assert 0.05 < sample_rows(orders).count() / orders.count() < 0.15
 
 

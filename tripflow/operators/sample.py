@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_RESOLUTION = 10_000
-
 
 def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 30) -> DataFrame:
     """Bernoulli sample without replacement; which rows it takes depends on the partitions."""
@@ -16,8 +14,10 @@ def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 30) -> DataFra
 def hash_sample(df: DataFrame, *keys: str, fraction: float = 0.1) -> DataFrame:
     """Sample by a hash of key columns: the same rows on any cluster and partitioning.
 
-    Rows with equal keys are taken or left together. The fraction is kept to four places.
+    Rows with equal keys are taken or left together, and a smaller sample is part of a
+    larger one. Eight hex digits of fixed width order as text the way they do as numbers.
     """
+    if fraction >= 1:
+        return df
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % _RESOLUTION
-    return df.where(bucket < round(fraction * _RESOLUTION))
+    return df.where(F.substring(F.md5(text), 1, 8) < f"{round(fraction * 2**32):08x}")
