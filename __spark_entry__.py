@@ -1019,6 +1019,33 @@ def q_warehouse_regression(spark, d):
     return _rounded(jobs.warehouse_regression(green, yellow), *_METRICS)
 
 
+# --- training-data operators ---------------------------------------------------------
+
+
+def _add_llm() -> None:
+    """Add the training-data queries where their subpackage is installed; other import errors are not hidden."""
+    optional = {"tripflow.llm", "tripflow.llm.queries", "corpus_pipeline"}
+    try:
+        import corpus_pipeline
+        from tripflow.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in optional:
+            raise
+        return
+    except ImportError as missing:  # an empty folder may be left in place of the subpackage
+        if missing.name not in optional:
+            raise
+        return
+    QUERIES.update(llm.QUERIES)
+    ORACLE.update(llm.ORACLE)
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+_add_llm()
+
+
 # --- contract -----------------------------------------------------------------------
 
 

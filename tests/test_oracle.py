@@ -8,7 +8,8 @@ import pytest
 
 import __spark_entry__ as contract
 
-NAMES = sorted(contract.queries())
+# The training-data queries have their tests beside their subpackage's.
+NAMES = sorted(n for n in contract.queries() if not n.startswith("op") and n != "pipeline")
 KINDS = {
     "bigint": "BIGINT",
     "int": "INTEGER",
