@@ -4,7 +4,8 @@ A language's dictionary is raw content: whole texts of that language, up to ``di
 sample of labelled rows is gathered for it (``sample_rows`` a language, the lowest hashes of their ids; all dictionaries
 together stay within ``total_bytes``, so that their broadcast is bounded however many languages there are). A text is
 compressed in pieces of ``PIECE`` bytes against each dictionary, so that the dictionary counts to its end, and the sizes
-are summed over the whole text.
+are summed over the whole text. Texts and dictionaries are reduced to lower-case letters with single blanks between
+runs of them, so that capitals, table bars and symbols say nothing.
 
 Defined results: ``und`` with score 0 for a NULL text or one without a letter, and for every text if nothing is
 labelled; ties go to the first language by name, with score 0. ``rejected`` marks ``und`` and narrow margins.
@@ -12,6 +13,8 @@ labelled; ties go to the first language by name, with score 0. ``rejected`` mark
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,12 +24,17 @@ from tripflow.llm.common import arrow_type, rows_of
 
 UNDETERMINED = "und"
 SAMPLE_ROWS = 400
-DICTIONARY_BYTES = 96 * 1024
+DICTIONARY_BYTES = 64 * 1024
 TOTAL_BYTES = 16 * 1024 * 1024
-LEVEL = 3
-PIECE = 8192
+LEVEL = 5
+PIECE = 4096
 # Of the second-best size; below it a text is rejected.
-MIN_MARGIN = 0.002
+MIN_MARGIN = 0.001
+NO_LETTER = re.compile(r"[\W\d_]+")
+
+
+def reduced(text: str) -> bytes:
+    return NO_LETTER.sub(" ", text.lower()).encode()
 
 
 def learn(
@@ -52,7 +60,7 @@ def learn(
     sample = rows.where((order < bound[F.col(lang_col)]) & (F.octet_length(text_col) <= room))
     texts: dict[str, list] = {}
     for lang, text, _ in sample.select(lang_col, text_col, order.alias("_o")).orderBy("_o").toLocalIterator():
-        texts.setdefault(lang, []).append(text.encode())
+        texts.setdefault(lang, []).append(reduced(text))
     out = {}
     for lang in counts:
         content = b""
@@ -83,7 +91,7 @@ class Classifier:
         """The language and the margin: what the best size saves of the second-best."""
         if not self.languages or text is None or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0
-        sizes = self.sizes(text.encode())
+        sizes = self.sizes(reduced(text))
         if len(sizes) == 1:
             return self.languages[0], 1.0
         best, second = sorted(sizes)[:2]
