@@ -1,0 +1,366 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns: each has its defined result."""
+
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tripflow.llm import bpe, decontaminate, language, licenses, lines, quality, simhash, toxicity, urls, warc
+from tripflow.llm.common import in_bucket
+from tripflow.llm.components import components
+from tripflow.llm.queries import BASE_RULES, RANKS, RULES
+
+# Extra columns carry the names the operators use inside.
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, _id string, _key string, block string, words string, fp string"
+LONG = " ".join(f"wort{i % 997}" for i in range(60_000))
+ROWS = [
+    (1, "the quick brown fox jumps over the lazy dog and then it sleeps for a while", "en", "a"),
+    (1, "the quick brown fox jumps over the lazy dog and then it sleeps for a while", "en", "a"),
+    (2, "", "en", None),
+    (3, None, None, "a"),
+    (None, "der schnelle braune Fuchs springt über den faulen Hund und schläft", "de", "b"),
+    (4, LONG, "de", "b"),
+    (5, "\n \n", None, "b"),
+    (6, "12 34 !!", "en", "b"),
+    (1, "another text under an id that is taken already, in which nothing else repeats", "en", "a"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, lang, s, len(t) if t is not None else None, "x", "y", "z", "w", "v") for i, t, lang, s in ROWS]
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="module")
+def nothing(docs):
+    return docs.where("false")
+
+
+def benchmark(spark, *rows):
+    return spark.createDataFrame(list(rows), "item_id bigint, text string")
+
+
+# --- 1 ---------------------------------------------------------------------------------
+
+
+def archive(spark, tmp_path, rows, **options):
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, digest string, header string")
+    path = str(tmp_path / "archive")
+    warc.write_archive(spark, pages, path, **options)
+    return path
+
+
+def test_archive_restores_records(spark, tmp_path):
+    big = "ä" * 50_000
+    rows = [(1, "http://a/", "same", "d", "h"), (2, "http://b/\r\nX: y", "same", "d", "h"), (3, None, None, "d", "h"), (4, "u", "", "d", "h"),
+            (5, "u", big, "d", "h"), (None, "u", "same", "d", "h"), (1, "http://a/", "same", "d", "h")]
+    path = archive(spark, tmp_path, rows)
+    got = [(r.record, r.record_type, r.refers, r.payload_bytes) for r in warc.read_archive(spark, path).collect()]
+    assert sorted(got, key=str) == sorted(
+        [("1", "response", None, 4), ("1", "response", None, 4), ("2", "revisit", "1", 4), ("3", "response", None, 0),
+         ("4", "revisit", "3", 0), ("5", "response", None, 100_000), (None, "revisit", "1", 4)], key=str)
+    assert spark.read.parquet(f"{path}/payloads").count() == 3
+    records = {r.record: bytes(r.warc) for r in warc.original_records(spark, path).collect()}
+    head, _, rest = records["5"].partition(b"\r\n\r\n")
+    fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
+    assert rest.endswith(b"\r\n\r\n") and int(fields[b"Content-Length"]) == len(rest) - 4
+    http, _, body = rest.partition(b"\r\n\r\n")
+    assert http.startswith(b"HTTP/1.1 200 OK") and body[:-4].decode() == big
+    assert b"X: y" not in records["2"].replace(b"%0D%0AX: y", b"") and b"WARC-Refers-To: <urn:record:1>" in records["2"]
+
+
+def test_archive_limits_and_damage(spark, tmp_path):
+    path = archive(spark, tmp_path, [(1, "u", "ab", "", ""), (2, "u", "ab", "", ""), (3, "u", "abc", "", ""), (4, "u", "abc", "", "")], min_bytes=3)
+    assert {r.record: r.record_type for r in warc.read_archive(spark, path).collect()} == {"1": "response", "2": "response", "3": "response", "4": "revisit"}
+    damaged = spark.read.parquet(f"{path}/payloads").withColumn("payload", F.lit(b"xyz"))
+    damaged.write.parquet(f"{tmp_path}/other/payloads")
+    spark.read.parquet(f"{path}/headers").write.parquet(f"{tmp_path}/other/headers")
+    with pytest.raises(Exception, match="does not match its digest"):
+        warc.read_archive(spark, f"{tmp_path}/other").collect()
+
+
+def test_empty_archive(spark, tmp_path):
+    path = archive(spark, tmp_path, [])
+    assert warc.read_archive(spark, path).count() == 0
+
+
+# --- 2 ---------------------------------------------------------------------------------
+
+
+def test_contamination_edges(spark, docs, nothing):
+    items = benchmark(spark, (7, "Lazy dog AND then"), (8, None), (9, ""), (7, "braune fuchs"), (10, LONG[:300]), (11, "lazy dog and then"))
+    for options in ({}, {"block_words": 40, "pack_words": 3}):
+        found = decontaminate.contamination(spark, docs, items, **options)
+        rows = found.withColumn("hit", decontaminate.covered(F.col("spans"))).collect()
+        assert len(rows) == len(ROWS)
+        by_text = {(r._id, r.n_words, r.hit, tuple(sorted(r["items"]))) for r in rows}
+        assert (1, 16, 4, (7, 11)) in by_text and (2, 0, 0, ()) in by_text and (3, 0, 0, ()) in by_text
+        assert (None, 11, 2, (7,)) in by_text and (6, 2, 0, ()) in by_text
+        assert any(r._id == 4 and r.n_words == 60_000 and r.hit > 1000 and r["items"] == [10] for r in rows)
+    kept = decontaminate.decontaminate(spark, docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text is None) for r in kept.collect()) == [(1, False), (2, False), (3, True), (5, False), (6, False)]
+    assert decontaminate.decontaminate(spark, docs, benchmark(spark)).count() == len(ROWS)
+    assert decontaminate.decontaminate(spark, nothing, items).count() == 0
+
+
+def test_phrases_and_proximity_against_brute_force(spark):
+    rng = random.Random(3)
+    texts = [[rng.choice("abcdefg") for _ in range(rng.randrange(0, 60))] for _ in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    wanted = {100: "a b c", 101: "g g", 102: "d", 103: "a z"}
+    items = benchmark(spark, *wanted.items())
+    index = decontaminate.build_index(spark, docs, block_words=100)
+    got = sorted((r.doc_id, r.start, o) for r in decontaminate.find_phrases(spark, index, items).collect() for o in r["items"])
+    want = [
+        (d, i, item)
+        for d, t in enumerate(texts)
+        for item, phrase in wanted.items()
+        for i in range(len(t))
+        if t[i : i + len(phrase.split())] == phrase.split()
+    ]
+    assert got == sorted(want)
+    near = decontaminate.find_near(spark, index, items, span=4).collect()
+    for item, phrase in wanted.items():
+        need = set(phrase.split())
+        want = {d for d, t in enumerate(texts) if any(need <= set(t[i : i + 4]) for i in range(len(t)))}
+        assert {r.doc_id for r in near if r.item_id == item} == want
+    assert all(0 < r.end - r.start <= 4 and set(wanted[r.item_id].split()) <= set(texts[r.doc_id][r.start : r.end]) for r in near)
+
+
+# --- 3 ---------------------------------------------------------------------------------
+
+
+def test_simhash_edges(spark, docs, nothing):
+    found = simhash.near_duplicates(spark, docs).collect()
+    assert len(found) == len(ROWS)
+    assert {(r._id, r.component_id) for r in found if r.fp == 0} == {(2, 2), (3, 2), (5, 2)}
+    assert [r.component_id for r in found if r._id is None] == [None]
+    kept = simhash.one_of_each_group(spark, docs)
+    assert kept.columns == docs.columns
+    ids = sorted((r.doc_id or 0 for r in kept.collect()))
+    assert ids == [0, 1, 1, 2, 4, 6]  # two texts under id 1 that are not alike both stay, the exact repeat goes
+    assert simhash.one_of_each_group(spark, nothing).count() == 0
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2, 3, 4])
+def test_links_connect_what_is_near(spark, bits):
+    rng, values = random.Random(bits), set()
+    for _ in range(6):
+        v = rng.getrandbits(64)
+        for _ in range(6):
+            values.add(v)
+            for _ in range(rng.randrange(1, bits + 2)):
+                v ^= 1 << rng.randrange(64)
+    values = sorted(values)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    prints = spark.createDataFrame([(v,) for v in signed], "fp bigint")
+    parent = {v: v for v in signed}
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a in signed:
+        for b in signed:
+            if ((a ^ b) & (2**64 - 1)).bit_count() <= bits:
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    got = {v: v for v in signed}
+    if bits:
+        edges = simhash.links(prints, bits)
+        assert all(((r.a ^ r.b) & (2**64 - 1)).bit_count() <= bits for r in edges.collect())
+        got.update({r.node: r.root for r in components(spark, edges).collect()})
+    assert got == {v: root(v) for v in signed}
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    hub = spark.range(500).select(F.lit(5000).cast("bigint").alias("a"), (F.col("id") + 4000).alias("b"))
+    roots = components(spark, edges.union(hub)).groupBy("root").count().collect()
+    assert {(r.root, r["count"]) for r in roots} == {(0, 300), (4000, 500)}
+    assert components(spark, edges.where("false")).count() == 0
+
+
+# --- 4 ---------------------------------------------------------------------------------
+
+
+def test_language_edges(spark, docs, nothing):
+    assert language.learn(nothing, F.lit(True)) == {}
+    model = language.learn(docs, F.lit(True))
+    assert set(model) == {"en", "de"}
+    got = {(r._id, r.lang_pred) for r in language.identify(spark, docs, model).collect()}
+    assert {(2, "und"), (3, "und"), (5, "und"), (6, "und"), (None, "de"), (1, "en")} <= got
+    assert {r.lang_pred for r in language.identify(spark, docs, {}).collect()} == {"und"}
+    tie = language.Classifier({"b": b"abc abc", "a": b"abc abc"})
+    assert tie.classify("abc abc") == ("a", 0.0)
+    kept = language.keep_identified(spark, docs, model)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} <= {1, 4, None}
+    assert language.keep_identified(spark, nothing, model).count() == 0
+    assert docs.select(in_bucket(F.col("doc_id"), 3, 1).alias("b")).where("b IS NULL").count() == 0
+
+
+# --- 5 ---------------------------------------------------------------------------------
+
+
+def test_line_edges(spark, docs, nothing):
+    # Three pages of host a repeat their line; a NULL host is a host of its own.
+    got = lines.drop_boilerplate(spark, docs, ratio=0.4, min_pages=2)
+    assert got.columns == docs.columns
+    found = {(r.doc_id, r.source, r.text, r.n_chars) for r in got.collect()}
+    assert (1, "a", "", 0) in found and (3, "a", None, None) in found and (2, None, "", 0) in found
+    assert (5, "b", "\n \n", 3) in found and (4, "b", LONG, len(LONG)) in found
+    assert lines.drop_boilerplate(spark, nothing).count() == 0
+    unchanged = lines.drop_boilerplate(spark, docs.drop("n_chars"), min_pages=3)
+    assert sorted(str(r.text) for r in unchanged.collect()) == sorted(str(r.text) for r in docs.collect())
+
+
+# --- 6 ---------------------------------------------------------------------------------
+
+
+def test_bpe_edges(spark, docs, nothing):
+    for options in ({}, {"block_words": 20}):
+        encoded = bpe.encode(spark, docs, RANKS, public_tokenizers.PATTERN, **options)
+        decoded = bpe.decode(spark, encoded, RANKS, public_tokenizers.PATTERN).collect()
+        assert sorted(bytes(r.decoded) for r in decoded) == sorted((t or "").encode() for _, t, *_ in ROWS)
+        assert all(len(r.ids) == 0 for r in decoded if r._id in (2, 3))
+    assert bpe.digests(spark, nothing, RANKS, public_tokenizers.PATTERN).count() == 0
+    empty = hashlib.sha256(b"").hexdigest()
+    rows = bpe.digests(spark, docs.where("doc_id IN (2, 3)"), RANKS, public_tokenizers.PATTERN).collect()
+    assert {(r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows} == {(0, empty, empty)}
+
+
+def test_packed_numbers():
+    numbers = [0, 1, 127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**28, 2**31]
+    import numpy as np
+
+    assert bpe.unpack(bpe.pack(np.array(numbers))).tolist() == numbers
+    assert bpe.unpack(bpe.pack(np.array([], np.int64))).tolist() == []
+
+
+# --- 7 ---------------------------------------------------------------------------------
+
+
+def test_segments_against_brute_force():
+    rng = random.Random(1)
+    for _ in range(300):
+        scores = [rng.choice([-3, -2, -1, -0.5, 1, 2, 3]) for _ in range(rng.randrange(0, 14))]
+
+        def best(lo, hi, scores=scores):
+            """Recursively: the best segment, shortest of equal ones, then what lies left and right of it."""
+            found = [(-sum(scores[a:b]), b - a, a) for a in range(lo, hi) for b in range(a + 1, hi + 1) if sum(scores[a:b]) > 0]
+            if not found:
+                return []
+            s, n, a = min(found)
+            return best(lo, a) + [(a, a + n, -s)] + best(a + n, hi)
+
+        got = [(a, b, round(s, 9)) for a, b, s in toxicity.maximal_segments(scores)]
+        assert sum(s for *_, s in got) == pytest.approx(sum(s for *_, s in best(0, len(scores))))
+        assert max((s for *_, s in got), default=0) == pytest.approx(max((s for *_, s in best(0, len(scores))), default=0))
+        assert all(a < b for a, b, _ in got) and all(x[1] <= y[0] for x, y in zip(got, got[1:]))
+
+
+def test_toxicity_edges(spark, docs, nothing):
+    labels = spark.createDataFrame([(1, 0, 1), (1, 0, None), (9, 1, 1)], "doc_id bigint, quality int, toxic int")
+    for known in (labels, labels.where("false")):
+        model = toxicity.learn(spark, docs, known, F.lit(True))
+        got = toxicity.score(spark, docs, model).collect()
+        assert len(got) == len(ROWS) and all(0 <= r.score <= 1 and r.passages == [] for r in got)
+    assert toxicity.score(spark, nothing, toxicity.Model()).count() == 0
+
+
+def test_toxicity_finds_passages(spark):
+    rng = random.Random(2)
+    clean = [" ".join(rng.choice("ab cd ef gh ij kl".split()) for _ in range(60)) for _ in range(3000)]
+    toxic = [c.replace("ab", "nasty", 4) for c in clean[:300]]
+    docs = spark.createDataFrame(list(enumerate(clean + toxic)), "doc_id bigint, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") >= 3000).cast("int").alias("toxic"))
+    model = toxicity.learn(spark, docs, labels, F.lit(True))
+    got = toxicity.score(spark, docs, model).collect()
+    assert all((r.score >= 0.5) == (r._id >= 3000) for r in got)
+    assert all((len(r.passages) > 0) == (r._id >= 3000) and r.p_value <= 1 for r in got)
+
+
+# --- 8 ---------------------------------------------------------------------------------
+
+
+def test_license_edges(spark, docs, nothing):
+    text = "Foo.\nlicensed UNDER the apache license version 2 0\nMIT\nlicense mit license license MIT  License"
+    rows = [(1, text, "a"), (1, text, "a"), (1, "mit license", "a"), (None, None, "b"), (2, "", "c")]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string, label string")
+    found = licenses.find_notices(spark, given)
+    assert {(r._id, r.line, r.label, r.containment) for r in found.collect()} == {(1, 1, "apache", 1.0)}
+    base = licenses.base_notices(given).collect()
+    assert len(base) == 5
+    assert [sorted((p.label, tuple(p["at"])) for p in r.places) for r in base if r.n_words == 16] == [[("apache", (4,)), ("mit", (9, 11, 14))]] * 2
+    assert [r.n_words for r in base if not r.places] == [0, 0]
+    assert licenses.find_notices(spark, nothing).count() == 0 and licenses.base_notices(nothing).count() == 0
+
+
+# --- 9 ---------------------------------------------------------------------------------
+
+
+def test_url_rules_against_brute_force(spark):
+    import re
+
+    hosts = ["example.net", "www.example.net", "EXAMPLE.net", "net", "notexample.net", "a.example.com", "example.com.org", "x.org", "free-bets.x.de", "bets.de", "alphabets.de"]
+    paths = ["", "/", "/en/", "/en", "/en/1.html", "/de/x", "/fr/", "/casino/win.ZIP", "/a.zip?x=1", "?q=/en/", "#/de/", "/EN/1"]
+    given = [f"http://{h}{p}" for h in hosts for p in paths] + ["", None, "no scheme/en/", "a://b://net/", "http://é.net/ü", "http:///en/"]
+    rows = [(i, u, "x", "y") for i, u in enumerate(given + given[:20])]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, rule string, token string")
+    got = urls.filter_urls(pages, urls.rules_table(spark, RULES)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", r.url or "")
+        host, path = (m[1].lower() if m else ""), (m[2] if m else "")
+        fits = [(len(h + p), h + p, v) for h, p, v in BASE_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        if fits:
+            want = max(fits)[1:]
+        else:
+            own = [rule for rule in RULES if rule[2] == 0 and re.search(rule[3], host + path)]
+            want = (None, "block" if own else "allow")
+        assert (r._host, r._path) == (host, path)
+        assert (r._rule if r._rank == 1 else None, r._verdict) == want, r.url
+    assert {"block", "allow"} == {r._verdict for r in got}
+    assert urls.filter_urls(pages.where("false"), urls.rules_table(spark, RULES)).count() == 0
+
+
+# --- 10 --------------------------------------------------------------------------------
+
+
+def test_quality_edges(spark, docs, nothing):
+    rows = quality.judge(spark, docs).collect()
+    assert len(rows) == len(ROWS)
+    assert all(r.base_failed and r.n_words == 0 and r.n_dup_lines == 0 for r in rows if r._id in (2, 3, 5))
+    assert [(r.n_words, r.base_failed) for r in rows if r._id == 4] == [(60_000, True)]
+    assert quality.judge(spark, nothing).count() == 0
+
+
+def test_label_model_finds_accuracies():
+    rng, counts = random.Random(4), {}
+    true = [0.95, 0.85, 0.75, 0.65]
+    for _ in range(20_000):
+        good = rng.random() < 0.7
+        votes = tuple(0 if rng.random() < 0.2 else (1 if (rng.random() < a) == good else -1) for a in true)
+        counts[votes] = counts.get(votes, 0) + 1
+    accuracy, good = quality.fit(counts)
+    assert accuracy == pytest.approx(true, abs=0.04) and good == pytest.approx(0.7, abs=0.04)
+    assert quality.fit({}) == ([], quality.START_GOOD)
+
+
+# --- the pipeline ------------------------------------------------------------------------
+
+
+def test_stages_take_odd_documents(spark, docs, nothing, tmp_path):
+    benchmark(spark, (1, "braune fuchs springt")).write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        for given in (docs, nothing):
+            out = stage(spark, given, str(tmp_path))
+            assert out.count() <= given.count()
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == docs.columns and out.dtypes == docs.dtypes

@@ -126,19 +126,23 @@ def near_duplicates(
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """``_id``, ``_key``, ``fp``, ``component_id`` (the smallest id reachable over links) of every row."""
+    """Of every row ``_id``, ``_key``, ``fp``, ``root`` and ``component_id``.
+
+    ``root`` is the least fingerprint of the component and tells components apart; ``component_id`` is the smallest id
+    reachable over links.
+    """
     rows = stored(spark, fingerprints(spark, docs, id_col, text_col, shingle), "fingerprints")
     distinct = stored(spark, rows.groupBy("fp").agg(F.min("_id").alias("least")), "distinct-fingerprints")
     if max_bits == 0:
-        named = distinct.select("fp", F.col("least").alias("component_id"))
+        named = distinct.select("fp", F.col("fp").alias("root"), F.col("least").alias("component_id"))
     else:
         root = components(spark, links(distinct.select("fp"), max_bits))
         rooted = distinct.join(root, distinct["fp"] == root["node"], "left").select(
             "fp", "least", F.coalesce("root", "fp").alias("root")
         )
         first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-        named = rooted.join(first, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("_id", "_key", "fp", "component_id")
+        named = rooted.join(first, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("_id", "_key", "fp", "root", "component_id")
 
 
 def one_of_each_group(
@@ -151,13 +155,11 @@ def one_of_each_group(
 ) -> DataFrame:
     """Of each group of near-duplicates one row: that of the smallest id, of equal ids one text by its hash.
 
-    Rows with a NULL id that form a group of their own keep one row too.
+    Two texts under one id that are not alike are in different groups and both stay; NULL ids come last.
     """
     found = near_duplicates(spark, docs, id_col, text_col, shingle, max_bits)
-    # A group of NULL ids alone has no id to go by; its fingerprint stands for it.
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp "), F.col("fp").cast("string")))
     order = F.struct(F.col("_id").isNull(), "_id", "_key")
-    chosen = found.groupBy(group.alias("g")).agg(F.min_by(F.struct("_id", "_key"), order).alias("r")).select("r.*")
+    chosen = found.groupBy("root").agg(F.min_by(F.struct("_id", "_key"), order).alias("r")).select("r.*")
     kept = select_rows(docs, stored(spark, chosen, "kept"), id_col, text_col, "left_semi")
     # What repeats a kept row exactly is in the same group: one stays. Rows are already together by id and hash.
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
