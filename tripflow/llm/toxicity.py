@@ -90,18 +90,24 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
 
 
 def log_odds(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int) -> dict[bytes, float]:
-    """Words with a clear log-odds ratio under an informative Dirichlet prior."""
+    """Words with a clear log-odds ratio under an informative Dirichlet prior.
+
+    A word counts once per document, so that a document which repeats one word cannot make it toxic; odds are against
+    all words of that label's documents.
+    """
     n, out = n_toxic + n_clean, {}
     if not n_toxic or not n_clean:
         return out
+    share_a, share_b = n_toxic / n, n_clean / n
+    total_a, total_b = sum(toxic.values()), sum(clean.values())
+    prior_total = PRIOR * (total_a + total_b) / n
     for word in toxic.keys() | clean.keys():
         a, b = toxic.get(word, 0), clean.get(word, 0)
         prior = PRIOR * (a + b) / n
-        with_a, with_b = a + prior * n_toxic / n, b + prior * n_clean / n
-        # Documents without the word, with the prior's share of them.
-        no_a = n_toxic - a + (PRIOR - prior) * n_toxic / n
-        no_b = n_clean - b + (PRIOR - prior) * n_clean / n
-        delta = math.log(with_a / max(no_a, 1e-9)) - math.log(with_b / max(no_b, 1e-9))
+        with_a, with_b = a + prior * share_a, b + prior * share_b
+        odds_a = with_a / max(total_a + prior_total * share_a - with_a, 1e-9)
+        odds_b = with_b / max(total_b + prior_total * share_b - with_b, 1e-9)
+        delta = math.log(odds_a / odds_b)
         if abs(delta) >= MIN_Z * math.sqrt(1 / with_a + 1 / with_b):
             out[word] = delta
     return out
