@@ -2,7 +2,7 @@
 
 Every rule reads one measure of a text and votes good, bad or abstains. The votes of a document form one of at most
 3^rules patterns; the patterns are counted over all documents (combined before the shuffle, so no key is hot), and EM
-over that bounded table estimates each rule's accuracy and the share of good documents. The posterior probability of a
+over that bounded table estimates each rule's accuracy on either class and the share of good documents. The posterior probability of a
 document's pattern replaces a filter that asks all rules to pass. DataFrame functions only; the EM steps are sums over
 the pattern table and need no row of the data.
 
@@ -23,7 +23,7 @@ BLANK = " \t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 ROUNDS = 100
-START_ACCURACY, START_GOOD = 0.8, 0.8
+START_RATES, START_GOOD = (0.95, 0.5), 0.8
 
 
 # --- measures -----------------------------------------------------------------------------
@@ -66,11 +66,10 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         lines.alias("_lines"),
         F.length(F.translate("_text", BLANK, "")).cast("bigint").alias("word_chars"),
         _count(F.col("_text"), SYMBOLS).cast("bigint").alias("n_symbols"),
-        _count(F.col("_text"), "|").cast("bigint").alias("n_bars"),
         _count(F.col("_text"), ".!?").cast("bigint").alias("n_stops"),
         _count(F.col("_text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("bigint").alias("n_capitals"),
     )
-    kept = ("_id", "_key", "word_chars", "n_symbols", "n_bars", "n_stops", "n_capitals")
+    kept = ("_id", "_key", "word_chars", "n_symbols", "n_stops", "n_capitals")
     ordered = cut.select(
         *kept,
         F.size("_words").cast("bigint").alias("n_words"),
@@ -100,12 +99,16 @@ def _vote(part: Column, of: Column, good: float, bad: float) -> Column:
 
 
 def rules() -> list[Column]:
-    """Each rule's vote over the measures."""
+    """Each rule's vote over the measures.
+
+    Symbols are seen by two rules, as repetition is: EM knows a fault by votes that agree.
+    """
     words, chars = F.col("n_words"), F.col("word_chars")
     mean = chars / F.nullif(words, F.lit(0))
     return [
         F.when(words >= 50, 1).when(words < 20, -1).otherwise(0),
         _vote(F.col("n_symbols"), words, 0.05, 0.2),
+        _vote(F.col("n_symbols"), chars, 0.01, 0.03),
         _vote(F.col("n_dup_lines"), F.col("n_lines"), 0.1, 0.3),
         _vote(F.col("n_repeat_words"), words, 0.15, 0.5),
         _vote(F.col("n_capitals"), chars, 0.12, 0.3),
@@ -117,29 +120,45 @@ def rules() -> list[Column]:
 # --- the label model ---------------------------------------------------------------------
 
 
-def _posterior(votes: tuple[int, ...], accuracy: list[float], good: float) -> float:
+def _posterior(votes: tuple[int, ...], rates: list[tuple[float, float]], good: float) -> float:
     odds = good / (1 - good)
-    for v, a in zip(votes, accuracy):
-        odds *= {1: a / (1 - a), -1: (1 - a) / a, 0: 1.0}[v]
+    for v, (of_good, of_bad) in zip(votes, rates):
+        odds *= _factor(v, of_good, of_bad)
     return odds / (1 + odds)
 
 
-def fit(patterns: dict[tuple[int, ...], int], rounds: int = ROUNDS) -> tuple[list[float], float]:
-    """Accuracies of the rules and share of good documents by EM over counted vote patterns.
+def _factor(vote: int, of_good: float, of_bad: float) -> float:
+    """What a vote does to the odds of being good; abstaining does nothing."""
+    return {1: of_good / of_bad, -1: (1 - of_good) / (1 - of_bad), 0: 1.0}[vote]
+
 
-    Accuracies stay above a half, which says which of the two classes is the good one.
+def fit(patterns: dict[tuple[int, ...], int], rounds: int = ROUNDS) -> tuple[list[tuple[float, float]], float]:
+    """Per rule the shares of good votes among good and among bad documents, and the share of good documents.
+
+    EM over counted vote patterns. The two shares are a rule's accuracy on either class: a rule that praises nearly
+    every text says little by it. A rule never counts against its own vote; one that would is taken as saying nothing.
     """
     size = len(next(iter(patterns), ()))
-    accuracy, good = [START_ACCURACY] * size, START_GOOD
+    rates, good = [START_RATES] * size, START_GOOD
     total = sum(patterns.values())
     for _ in range(rounds if total else 0):
-        weights = [(votes, n, _posterior(votes, accuracy, good)) for votes, n in sorted(patterns.items())]
+        weights = [(votes, n, _posterior(votes, rates, good)) for votes, n in sorted(patterns.items())]
         good = min(0.99, max(0.01, sum(n * p for _, n, p in weights) / total))
         for j in range(size):
-            right = sum(n * (p if votes[j] > 0 else 1 - p) for votes, n, p in weights if votes[j])
-            cast = sum(n for votes, n, _ in weights if votes[j])
-            accuracy[j] = min(0.99, max(0.55, (right + START_ACCURACY) / (cast + 1)))
-    return accuracy, good
+            # A document of either kind is added at the starting rates, so that no rate is certain.
+            up_good = START_RATES[0] + sum(n * p for votes, n, p in weights if votes[j] > 0)
+            up_bad = START_RATES[1] + sum(n * (1 - p) for votes, n, p in weights if votes[j] > 0)
+            all_good = 1 + sum(n * p for votes, n, p in weights if votes[j])
+            all_bad = 1 + sum(n * (1 - p) for votes, n, p in weights if votes[j])
+            if up_good / all_good >= up_bad / all_bad:
+                rates[j] = (_clipped(up_good / all_good), _clipped(up_bad / all_bad))
+            else:
+                rates[j] = (_clipped((up_good + up_bad) / (all_good + all_bad)),) * 2
+    return rates, good
+
+
+def _clipped(rate: float) -> float:
+    return min(0.999, max(0.001, rate))
 
 
 def judge(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,11 +167,11 @@ def judge(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     found = measures(docs, id_col, text_col).withColumn("votes", F.array(*votes))
     found = stored(spark, found.withColumn("base_failed", base_failed()), "votes")
     patterns = {tuple(row.votes): row.n for row in found.groupBy("votes").agg(F.count("*").alias("n")).collect()}
-    accuracy, good = fit(patterns)
-    # The log odds of a document: the share's and those of the rules that voted.
-    odds = reduce(
-        Column.__mul__,
-        (F.when(F.col("votes")[j] > 0, a / (1 - a)).when(F.col("votes")[j] < 0, (1 - a) / a).otherwise(1.0) for j, a in enumerate(accuracy)),
-        F.lit(good / (1 - good)),
+    rates, good = fit(patterns)
+    # The odds of a document: the share's and those of the rules that voted.
+    factors = (
+        F.when(F.col("votes")[j] > 0, _factor(1, *r)).when(F.col("votes")[j] < 0, _factor(-1, *r)).otherwise(1.0)
+        for j, r in enumerate(rates)
     )
+    odds = reduce(Column.__mul__, factors, F.lit(good / (1 - good)))
     return found.withColumn("posterior", odds / (1 + odds))
