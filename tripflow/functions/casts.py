@@ -18,4 +18,6 @@ def to_int(col: Column) -> Column:
 
 
 def parse_ts(col: Column, fmt: str = WALL_CLOCK) -> Column:
-    return F.try_to_timestamp(col, F.lit(fmt))
+    """A time of the given form, or else a date and a time with a fraction or without seconds."""
+    dated = F.when(col.rlike(r"^\d{4}-\d\d-\d\d[ T]\d"), col).try_cast("timestamp")
+    return F.coalesce(F.try_to_timestamp(col, F.lit(fmt)), dated)

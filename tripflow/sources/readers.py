@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,38 +18,46 @@ def read_trips_csv(
     paths: str | Sequence[str],
     schema: StructType | None = None,
     with_file: bool = False,
-    sniff_threads: int = 16,
 ) -> DataFrame:
     """Delimited trip files with a header, every column a string.
 
     Spark binds the columns of all files in one read by position. Files below one glob
     whose headers differ would therefore swap values silently, so they are grouped by
     header first, each group is read under its own schema with the header check on,
-    and the groups are put together by name. Only file names and header lines reach
-    the driver. Passing ``schema`` skips the header look-up: all files must then
-    carry exactly that header or the scan fails.
+    and the groups are put together by name. The look-up is one job over all files
+    and one more for each distinct header; file names and header lines reach the driver.
+    It reads the files as text once, so declare the header of large inputs: passing
+    ``schema`` skips the look-up, and all files must then carry exactly that header or
+    the scan fails.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if schema is not None:
         return _read_group(spark, paths, schema.fieldNames(), with_file)
 
-    files = sorted(_as_path(uri) for uri in spark.read.text(paths).inputFiles())
-
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(path).columns)
-
-    with ThreadPoolExecutor(sniff_threads) as pool:
-        headers = list(pool.map(header, files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, columns in zip(files, headers):
-        if columns:  # a file of no bytes has no header and no rows
-            groups.setdefault(columns, []).append(path)
+    for files in _files_by_header(spark, paths):
+        columns = tuple(spark.read.option("header", True).csv(files[0]).columns)
+        if columns:
+            groups.setdefault(columns, []).extend(files)
     if not groups:
         raise ValueError(f"no file with a header in {paths}")
-    frames = [_read_group(spark, group, columns, with_file) for columns, group in groups.items()]
+    frames = [_read_group(spark, sorted(group), columns, with_file) for columns, group in groups.items()]
     return frames[0] if len(frames) == 1 else union_all(frames, fold_case=False)
 
 
+def _files_by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Files grouped by their first line that is not blank; a file without one has no rows."""
+    lines = spark.read.text(list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        # Splits of one file come in the order of their start, rows of one split in the order they are read.
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias("at"),
+    )
+    first = lines.where(F.trim("value") != "").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    grouped = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("files")
+    return [[_as_path(uri) for uri in row["files"]] for row in grouped.collect()]
+
+
 def _as_path(uri: str) -> str:
     """A listed file as a path to read: no URI escapes, and nothing taken for a glob."""
     return re.sub(r"([*?\[\]{}])", r"\\\1", unquote(uri))
@@ -87,8 +94,11 @@ def read_warehouse(spark: SparkSession, name: str, fmt: str | None = None, **opt
 
 
 def read_pairs_csv(
-    spark: SparkSession, path: str, label: str = "label", feature: str = "x"
+    spark: SparkSession, path: str, label: str = "label", feature: str = "x", partitions: Sequence[str] = ()
 ) -> DataFrame:
-    """Header-less ``label,feature`` lines as two doubles; a broken line fails the read."""
-    schema = f"`{label}` double, `{feature}` double"
+    """Header-less ``label,feature`` lines as two doubles, with text ``partitions`` from folder names.
+
+    A broken line fails the read.
+    """
+    schema = ", ".join([f"`{label}` double", f"`{feature}` double", *(f"`{p}` string" for p in partitions)])
     return spark.read.schema(schema).option("mode", "FAILFAST").csv(path)
