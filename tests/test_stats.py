@@ -86,16 +86,36 @@ def test_closed_form_equals_spark_ml_per_group(spark, trips):
         assert row["slope"] > 2 and row["r2"] > 0.8
 
 
-def test_fit_without_groups_and_beyond_local_groups(spark, trips, rows):
+def test_fit_without_groups_and_by_shuffle(spark, trips, rows):
     whole = fit_price(trips).first()
     want = model_metrics(fit_price_ml(trips), trips).first()
     assert whole["mae"] == pytest.approx(want["mae"], rel=1e-6)
     assert whole["n"] == trips.dropna(subset=["Fare_amount", "Trip_distance"]).count()
-    near, far = (
-        fit_price(trips, by=["taxi_type"], max_local_groups=n).select("taxi_type", *[F.round(c, 9) for c in ("slope", "mae")])
-        for n in (10, 1)
+
+    def fitted():
+        return fit_price(trips, by=["taxi_type"]).select("taxi_type", *[F.round(c, 9) for c in ("slope", "mae")])
+
+    near = rows(fitted())
+    assert "BroadcastHashJoin" in final_plan(fitted())
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        assert rows(fitted()) == near
+
+
+def test_hot_group_is_split_when_models_are_joined_by_shuffle(spark):
+    """A third of the rows is one group, the others are thousands."""
+    n = 120_000
+    df = spark.range(0, n, 1, 16).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 5000 END AS k", "CAST(id % 17 AS double) AS x", "CAST(2 * (id % 17) + id % 3 AS double) AS y"
     )
-    assert rows(near) == rows(far)
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    with settings(spark, {**SMALL_SKEW, **off, "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        models = fit_price(df, "y", "x", by=["k"])
+        shuffled = [line for line in final_plan(models).splitlines() if line.startswith("Arguments: hashpartitioning(") and "_salt" in line]
+        assert shuffled  # the hot group's rows go to as many tasks as it has parts
+        assert models.agg(F.sum("n")).first()[0] == n
+        hot = models.where("k = 0").first()
+        rows = df.where("k = 0").toPandas()
+        assert hot["mae"] == pytest.approx((rows.y - hot["slope"] * rows.x - hot["intercept"]).abs().mean())
 
 
 def test_fit_without_spread_is_the_mean(spark):
@@ -116,6 +136,11 @@ def test_samples(spark, data, rows):
     assert rows(one) == rows(many)
     assert 0.05 < one.count() / orders.count() < 0.15
     assert hash_sample(orders, "o_orderkey", fraction=1.0).count() == orders.count()
+    for almost in (1 - 2**-33, 1 - 1e-10):
+        assert hash_sample(orders, "o_orderkey", fraction=almost).count() == orders.count()
+    for wrong in (-0.1, 1.1):
+        with pytest.raises(ValueError):
+            hash_sample(orders, "o_orderkey", fraction=wrong)
     assert hash_sample(orders, "o_orderkey", fraction=0.0).count() == 0
     half = hash_sample(orders, "o_orderkey", fraction=0.5)
     assert one.exceptAll(half).count() == 0 and 0.45 < half.count() / orders.count() < 0.55

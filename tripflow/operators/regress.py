@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.casts import to_double
+from tripflow.sources.writers import stored
 
 # Settings of the published models.
 MAX_ITER, REG_PARAM, ELASTIC_NET = 10, 0.3, 0.8
+# Into how many parts the error pass splits a group.
+SALTS = 16
 
 
 def fit_price(
@@ -23,38 +26,44 @@ def fit_price(
     by: Sequence[str] = (),
     reg: float = REG_PARAM,
     alpha: float = ELASTIC_NET,
-    max_local_groups: int = 10_000,
 ) -> DataFrame:
     """One model per group: the ``by`` columns, ``n, slope, intercept, r2, rmse, mae``.
 
     With one feature the elastic net has a closed form in the first two moments, so all
-    groups are fitted in one aggregation. The errors take a second pass with the
-    coefficients at hand: up to ``max_local_groups`` of them are sent to the tasks, more
-    are joined by a shuffle. Rows whose label or feature is NULL or NaN are
-    left out.
+    groups are fitted in one aggregation. The models are stored in the shared scratch
+    folder, so their size is known when the second pass, which measures the errors, joins
+    them: Spark broadcasts them below its threshold and otherwise shuffles by group and one
+    of ``SALTS`` parts, so that a hot group is never one task. Rows whose label or feature
+    is NULL or NaN are left out.
     """
     by = list(by)
     data = df.select(
         *by, to_double(F.col(label)).alias("_y"), to_double(F.col(feature)).alias("_x")
     ).dropna(subset=["_y", "_x"])
-    models = _closed_form(data, by, reg, alpha)
-
-    local = models.limit(max_local_groups + 1).collect()
-    if len(local) <= max_local_groups:
-        models = F.broadcast(df.sparkSession.createDataFrame(local, models.schema))
+    models = stored(_closed_form(data, by, reg, alpha), "models")
     coefficients = ["n", "slope", "intercept", "sy"]
     if by:
-        keyed = models.select(*[F.col(c).alias(f"_{c}") for c in by], *coefficients)
-        same_group = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
-        scored = data.join(keyed, same_group)
+        keyed = models.select(
+            *[F.col(c).alias(f"_{c}") for c in by],
+            *coefficients,
+            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_part"),
+        )
+        same_group = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+        part = F.pmod(F.xxhash64("_y", "_x"), F.lit(SALTS)).cast("int").alias("_salt")
+        scored = data.select("*", part).join(keyed, reduce(lambda a, b: a & b, same_group, F.col("_salt") == F.col("_part")))
     else:
-        kinds = dict(models.dtypes)
-        scored = data.withColumns({c: F.lit(local[0][c]).cast(kinds[c]) for c in coefficients})
+        one = models.select(F.struct(*coefficients).alias("model")).scalar()
+        scored = data.withColumn("_model", one).select("_y", "_x", F.lit(0).alias("_salt"), "_model.*")
     residual = F.col("_y") - F.col("slope") * F.col("_x") - F.col("intercept")
-    errors = scored.groupBy(*by).agg(
+    parts = scored.groupBy(*by, "_salt").agg(
+        *[F.max(c).alias(c) for c in coefficients],
+        F.sum(residual * residual).alias("squares"),
+        F.sum(F.abs(residual)).alias("errors"),
+    )
+    errors = parts.groupBy(*by).agg(
         *[F.max(c).alias(c) for c in coefficients],
-        F.avg(residual * residual).alias("mse"),
-        F.avg(F.abs(residual)).alias("mae"),
+        (F.sum("squares") / F.nullif(F.max("n"), F.lit(0))).alias("mse"),
+        (F.sum("errors") / F.nullif(F.max("n"), F.lit(0))).alias("mae"),
     )
     r2 = 1 - F.try_divide(F.col("mse"), F.col("sy") ** 2)
     return errors.select(*by, "n", "slope", "intercept", r2.alias("r2"), F.sqrt("mse").alias("rmse"), "mae")

@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.functions.casts import to_double
-from tripflow.session import scratch_path
-from tripflow.sources.readers import read_table
-from tripflow.sources.writers import write_table
+from tripflow.sources.writers import stored
 
 
 def correlate(df: DataFrame, a: str, b: str, method: str = "pearson") -> DataFrame:
@@ -24,9 +22,28 @@ def correlate(df: DataFrame, a: str, b: str, method: str = "pearson") -> DataFra
 
 
 def correlation_screen(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
-    """``label, feature, n, pearson, spearman``, one row per candidate feature."""
-    both = _pearson(df, label, features).join(_spearman(df, label, features).drop("n"), "feature", "left")
-    return both.select(F.lit(label).alias("label"), "feature", "n", "pearson", "spearman")
+    """``label, feature, n, pearson, spearman``, one row per candidate feature.
+
+    Both come from the stored counts of distinct pairs, so the input is read once.
+    """
+    pairs = _pair_counts(df, label, features)
+    # Centred on the weighted means first, so that nothing cancels in the second moments.
+    w, x, y = F.col("w"), F.col("x"), F.col("y")
+    means = pairs.groupBy("feature").agg(
+        F.sum("w").alias("n"), (F.sum(w * x) / F.sum("w")).alias("mx"), (F.sum(w * y) / F.sum("w")).alias("my")
+    )
+    dx, dy = x - F.col("mx"), y - F.col("my")
+    spread = F.sqrt(F.sum(w * dx * dx)) * F.sqrt(F.sum(w * dy * dy))
+    pearson = (
+        pairs.join(F.broadcast(means), "feature")  # one row per feature
+        .groupBy("feature")
+        .agg(F.first("n").alias("n"), F.try_divide(F.sum(w * dx * dy), spread).alias("pearson"))
+    )
+    names = F.array(*[F.struct(F.lit(i).alias("feature"), F.lit(f).alias("name")) for i, f in enumerate(features)])
+    every = df.sparkSession.range(1).select(F.inline(names))
+    both = every.join(pearson, "feature", "left").join(_rank_correlation(pairs).drop("n"), "feature", "left")
+    n = F.coalesce("n", F.lit(0).cast("bigint")).alias("n")
+    return both.select(F.lit(label).alias("label"), F.col("name").alias("feature"), n, "pearson", "spearman")
 
 
 def _pearson(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
@@ -47,18 +64,28 @@ def _spearman(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     the average rank of a value follows from the number of rows below it. The counts are
     written once to the shared scratch folder, since every later step reads them.
     """
+    found = _rank_correlation(_pair_counts(df, label, features))
+    names = F.array(*[F.lit(f) for f in features])
+    return found.withColumn("feature", names[F.col("feature")])
+
+
+def _pair_counts(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
+    """``feature, x, y, w``: how many rows hold a complete pair."""
     # Features and sides travel as small numbers: they are part of every shuffled key.
     y = to_double(F.col(label))
     entries = [
         F.struct(F.lit(i).alias("feature"), to_double(F.col(f)).alias("x")) for i, f in enumerate(features)
     ]
-    pairs = _stored(
+    return stored(
         df.select(y.alias("y"), F.inline(F.array(*entries)))
         .where(F.col("x").isNotNull() & F.col("y").isNotNull())
         .groupBy("feature", "x", "y")
         .agg(F.count("*").alias("w")),
         "pair_counts",
     )
+
+
+def _rank_correlation(pairs: DataFrame) -> DataFrame:
     sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(s).alias("v")) for i, s in enumerate("xy")])
     ranks = _average_ranks(
         pairs.select("feature", "w", F.inline(sides)).groupBy("feature", "side", "v").agg(F.sum("w").alias("w"))
@@ -69,11 +96,9 @@ def _spearman(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     # Ranks arrive centred on their known mean, so nothing cancels in these sums.
     w, rx, ry = F.col("w"), F.col("rx"), F.col("ry")
     spread = F.sqrt(F.sum(w * rx * rx)) * F.sqrt(F.sum(w * ry * ry))
-    found = pairs.groupBy("feature").agg(
+    return pairs.groupBy("feature").agg(
         F.sum("w").alias("n"), F.try_divide(F.sum(w * rx * ry), spread).alias("spearman")
     )
-    names = F.array(*[F.lit(f) for f in features])
-    return found.withColumn("feature", names[F.col("feature")])
 
 
 def _average_ranks(values: DataFrame) -> DataFrame:
@@ -86,7 +111,7 @@ def _average_ranks(values: DataFrame) -> DataFrame:
     """
     group = ["feature", "side"]
     ranged = values.repartitionByRange(*group, "v").withColumn("part", F.spark_partition_id())
-    values = _stored(ranged, "value_counts")
+    values = stored(ranged, "value_counts")
     upto_now = (Window.unboundedPreceding, Window.currentRow)
     # One row per range: as few as the shuffle has partitions.
     whole = Window.partitionBy(*group)
@@ -110,8 +135,3 @@ def _average_ranks(values: DataFrame) -> DataFrame:
     )
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """The table read back from the shared scratch folder."""
-    path = scratch_path(df.sparkSession, name)
-    write_table(df, path)
-    return read_table(df.sparkSession, path)

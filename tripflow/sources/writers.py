@@ -8,7 +8,7 @@ from contextlib import nullcontext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tripflow.session import setting
+from tripflow.session import scratch_path, setting
 
 
 def write_table(
@@ -23,7 +23,9 @@ def write_table(
     ``compact`` lets Spark rebalance the output to files of the advisory size: a small
     aggregate lands in a single file, while a table of any size never passes through
     one task. With ``partition_by`` the rows of one folder are brought together so, and
-    a folder too large for one file gets several.
+    a folder too large for one file gets several. It sets a session-wide option while it
+    writes, so concurrent writes of one session should use sessions of their own
+    (``spark.newSession()``).
     """
     writer = (df.hint("rebalance", *partition_by) if compact else df).write.mode(mode)
     if partition_by:
@@ -33,17 +35,26 @@ def write_table(
         writer.parquet(path)
 
 
-def write_pairs_csv(df: DataFrame, path: str, label: str | Column, feature: str | Column) -> None:
-    """Two columns as header-less, uncompressed, comma separated doubles."""
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared scratch folder and read back: every later use sees the same rows."""
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_pairs_csv(
+    df: DataFrame,
+    path: str,
+    label: str | Column,
+    feature: str | Column,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Two columns as header-less, uncompressed, comma separated doubles, in a folder per ``partition_by`` value."""
     cols = [df[c] if isinstance(c, str) else c for c in (label, feature)]
-    (
-        df.select(*[c.try_cast("double") for c in cols])
-        .write.mode("overwrite")
-        .option("header", False)
-        .option("sep", ",")
-        .option("compression", "none")
-        .csv(path)
-    )
+    writer = df.select(*[c.try_cast("double") for c in cols], *partition_by).write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.option("header", False).option("sep", ",").option("compression", "none").csv(path)
 
 
 def write_warehouse(
