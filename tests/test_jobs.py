@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.plans import plan
 from tests.test_align import raw_header
 from tripflow.plans import jobs
-from tripflow.sources.readers import read_table
+from tripflow.sources.readers import read_table, read_trips_csv
 from tripflow.sources.schemas import HEAT, LAYOUTS, MONTH_MAP, TOTAL
 from tripflow.sources.writers import write_table
 
@@ -179,12 +179,58 @@ def test_price_regression_ways(spark, tmp_path):
     via_csv = jobs.price_regression(total, sample_key=["id"], via_csv=str(tmp_path)).collect()
     for a, b in zip(sorted(hashed), sorted(via_csv)):
         assert a["taxi_type"] == b["taxi_type"] and tuple(a)[1:] == pytest.approx(tuple(b)[1:])
-    assert sorted(os.listdir(tmp_path)) == ["green", "yellow"]
+    assert sorted(p for p in os.listdir(tmp_path) if "=" in p) == ["taxi_type=green", "taxi_type=yellow"]
     drawn = jobs.price_regression(total).collect()
     for r in [*hashed, *drawn]:
         assert 200 < r["n"] < 400 and r["slope"] == pytest.approx(3 - 0.24 / 1.44, abs=0.2) and r["r2"] > 0.95
 
 
+def test_default_sample_is_drawn_once(spark, tmp_path):
+    path = str(tmp_path / "total")
+    spark.range(0, 3000, 1, 4).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 'green' ELSE 'yellow' END AS taxi_type", "timestamp'2019-02-01' AS Pickup_datetime",
+        "2D + id % 50 AS Trip_distance", "5D + id % 70 AS Fare_amount",
+    ).write.parquet(path)
+    models = jobs.price_regression(read_table(spark, path), fraction=0.5)
+    assert path not in plan(models)  # the fit reads the stored sample, not the source again
+    with_tag = jobs.price_regression(read_table(spark, path), fraction=None)
+    assert path in plan(with_tag)
+
+
+def test_typed_tests_reach_the_warehouse_scan(spark, zones, tmp_path):
+    def pushed(df):
+        return " ".join(line for line in plan(df).splitlines() if line.startswith("PushedFilters"))
+
+    for name, df in {"metered": metered(spark, ("2018-03-31 09:07:00", None, None, 2.5, 9.5, 56)), "fhv": spark.createDataFrame([(56, datetime(2017, 6, 2), "Queens", "Corona", "Boro")], "location_id int, pickup_datetime timestamp, borough string, zone string, service_zone string")}.items():
+        df.write.parquet(str(tmp_path / name))
+    trips, hired = (read_table(spark, str(tmp_path / n)) for n in ("metered", "fhv"))
+    typed = jobs.clean_metered({2018: trips}, "green", numeric=True)
+    text = pushed(typed)
+    assert "GreaterThan(fare_amount,0.0)" in text and "GreaterThan(trip_distance,0.0)" in text
+    assert "GreaterThan(fare_amount" not in pushed(jobs.clean_metered({2018: trips}, "green"))
+    prices = jobs.borough_prices(typed, typed, zones, numeric=True)
+    assert "GreaterThan(fare_amount,0.0)" in pushed(prices) and prices.count() == 2
+    counts = jobs.monthly_zone_counts({2017: hired}, {2018: trips}, {2018: trips}, zones, numeric=True)
+    assert "GreaterThanOrEqual(pickup_datetime,2017-01-01" in pushed(counts)
+    assert {r["taxi_type"] for r in counts.collect()} == {"FHV", "Green", "Yellow"}
+
+
+def test_header_lookup_does_not_grow_with_the_files(spark, tmp_path):
+    def jobs_for(files):
+        folder = tmp_path / f"raw{files}"
+        folder.mkdir()
+        for i in range(files):
+            (folder / f"{i:03}.csv").write_text("a,b\n1,2\n" if i % 2 else "b,a\n2,1\n")
+        group = f"headers-{files}"
+        spark.sparkContext.setJobGroup(group, group)
+        df = read_trips_csv(spark, str(folder))
+        started = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        assert [tuple(r) for r in df.select("a", "b").distinct().collect()] == [("1", "2")] and df.count() == files
+        return started
+
+    assert jobs_for(30) == jobs_for(4)
+
+
 def test_correlations_job(spark, data):
     events = spark.read.parquet(f"{data}/events.parquet").selectExpr(
         "value AS Fare_amount", "value * 2 AS Trip_distance", "-value AS Pickup_latitude", "cast(user_id AS double) AS Pickup_longitude"

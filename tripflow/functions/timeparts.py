@@ -55,6 +55,17 @@ def bucket_ts(ts: Column, minutes: int = 10) -> Column:
     return ts - into_bucket
 
 
+def grouped_time(df: DataFrame, ts: str, unit: str) -> Column:
+    """What to group by for a ``month`` or ``ten_minutes`` key: text by its prefix, a time by its start.
+
+    Formatting the few groups afterwards gives the same keys as formatting every row.
+    """
+    c = F.col(ts)
+    if dict(df.dtypes)[ts] == "string":
+        return month_key(c) if unit == "month" else bucket_key15(c)
+    return F.date_trunc("month", c) if unit == "month" else bucket_ts(c)
+
+
 def bucket_key15(ts: Column) -> Column:
     """Ten-minute bucket as its first 15 characters: ``2015-12-05 14:3`` for 14:39:59."""
     return F.substring(ts.cast("string"), 1, 15)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.casts import to_double
-from tripflow.functions.timeparts import bucket_key15, calendar_parts, month_key, month_label, month_parts
+from tripflow.functions.timeparts import bucket_key15, calendar_parts, grouped_time, month_key, month_label, month_parts
 from tripflow.sources.schemas import BOROUGHS, DAILY, MONTHLY, PRICES
 
 
@@ -39,11 +39,12 @@ def monthly_business(
     """Trips per month, zone and taxi type in one aggregation over all types."""
     counts = (
         df.groupBy(
-            month_key(F.col(ts)).alias("year_month_day"),
+            grouped_time(df, ts, "month").alias("month_start"),
             F.col(zone).alias("zone_name"),
             F.col(taxi_type).alias("taxi_type"),
         )
         .agg(F.count("*").alias("count"))
+        .withColumn("year_month_day", month_key(F.col("month_start")))
         .withColumn("year_month_day_new", month_label(F.col("year_month_day")))
     )
     return month_parts(counts).select(*MONTHLY.fieldNames())
@@ -62,10 +63,11 @@ def bucket_prices(
     """
     return (
         df.where(F.col("borough").isin(*boroughs))
-        .groupBy(bucket_key15(F.col(ts)).alias("pickup_datetime"), "borough", "taxi_type")
+        .groupBy(grouped_time(df, ts, "ten_minutes").alias("bucket"), "borough", "taxi_type")
         .agg(
             F.avg(to_double(F.col(fare))).alias("fare_amount_avg"),
             F.avg(to_double(F.col(distance))).alias("trip_distance_avg"),
         )
+        .withColumn("pickup_datetime", bucket_key15(F.col("bucket")))
         .select(*PRICES.fieldNames())
     )

@@ -74,9 +74,24 @@ def project_fhv(df: DataFrame) -> DataFrame:
     )
 
 
-def project_metered(df: DataFrame) -> DataFrame:
-    """Warehouse columns of green and yellow trips as text; NULL where a year has none."""
-    return df.select(*[_pick(df, c).cast("string").alias(c) for c in METERED_COLUMNS])
+def project_metered(df: DataFrame, numeric: bool = False) -> DataFrame:
+    """Warehouse columns of green and yellow trips as text; NULL where a year has none.
+
+    ``numeric`` keeps the time as it is and brings the measures to doubles, on which a scan
+    can use a filter: a double column is passed through without a cast.
+    """
+    if not numeric:
+        return df.select(*[_pick(df, c).cast("string").alias(c) for c in METERED_COLUMNS])
+    measures = {"pickup_longitude", "pickup_latitude", "trip_distance", "passenger_count", "fare_amount"}
+    columns = []
+    for c in METERED_COLUMNS:
+        column = _pick(df, c)
+        if c in measures:
+            column = column if dict(df.dtypes).get(c) == "double" else column.try_cast("double")
+        elif c != "pickup_datetime":
+            column = column.cast("string")
+        columns.append(column.alias(c))
+    return df.select(*columns)
 
 
 def union_all(

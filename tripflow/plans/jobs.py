@@ -10,8 +10,9 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tripflow.functions.timeparts import bucket_ts, heat_parts, shift_year
+from tripflow.functions.timeparts import bucket_ts, heat_parts, month_key, shift_year
 from tripflow.operators.aggregate import bucket_prices, daily_business, monthly_business
 from tripflow.operators.align import align_year, project_fhv, project_metered, tag, union_all
 from tripflow.operators.clean import (
@@ -34,7 +35,7 @@ from tripflow.operators.sample import hash_sample, sample_rows
 from tripflow.operators.stats import correlation_screen
 from tripflow.sources.readers import read_pairs_csv, read_trips_csv
 from tripflow.sources.schemas import CITY, HEAT, METERED, MONTH_MAP, layout_for
-from tripflow.sources.writers import write_pairs_csv
+from tripflow.sources.writers import stored, write_pairs_csv
 
 # The periods and labels of the published tables.
 MAP_PERIOD = (datetime(2015, 12, 1), datetime(2016, 1, 1))
@@ -48,9 +49,15 @@ def unify_trips(
     paths: Mapping[tuple[str, int], str | Sequence[str]],
     zones: DataFrame,
     dedup_dim: bool = True,
+    schemas: Mapping[tuple[str, int], StructType] | None = None,
 ) -> DataFrame:
-    """Raw files by (taxi type, year) as the one typed fact table."""
-    frames = {key: read_trips_csv(spark, path) for key, path in paths.items()}
+    """Raw files by (taxi type, year) as the one typed fact table.
+
+    ``schemas`` declares the header of a (type, year), whose files are then not looked at
+    before the scan; a file with another header fails it.
+    """
+    schemas = schemas or {}
+    frames = {key: read_trips_csv(spark, path, schemas.get(key)) for key, path in paths.items()}
     return unify_frames(frames, zones, dedup_dim)
 
 
@@ -82,9 +89,9 @@ def _years_of(total: DataFrame, lo: date, hi: date) -> DataFrame:
     return total.where(F.col("year").between((lo - day).year, (hi + day).year))
 
 
-def daily_counts(total: DataFrame) -> DataFrame:
+def daily_counts(total: DataFrame, legacy_dow: bool = False, count_type: str = "int") -> DataFrame:
     """Business per day, borough and taxi type."""
-    return daily_business(total)
+    return daily_business(total, legacy_dow=legacy_dow, count_type=count_type)
 
 
 def month_map(
@@ -122,49 +129,57 @@ def price_regression(
     """Fare on distance, one model per taxi type.
 
     The sample is Bernoulli unless ``sample_key`` names columns to hash; ``fraction=None``
-    uses all rows. ``via_csv`` writes the pairs of each type below that folder first and
-    fits on what is read back.
+    uses all rows. A Bernoulli draw is stored before the fit, which reads its rows twice and
+    must see the same ones. ``via_csv`` writes the pairs below that folder in one pass, a
+    folder per type, and fits on what is read back.
     """
     trips = regression_input(_years_of(total, lo, hi), lo, hi, types, keep=sample_key)
+    drawn = fraction is not None and not sample_key
     if fraction is not None:
-        trips = hash_sample(trips, *sample_key, fraction=fraction) if sample_key else sample_rows(trips, fraction, seed)
+        trips = sample_rows(trips, fraction, seed) if drawn else hash_sample(trips, *sample_key, fraction=fraction)
     if via_csv:
-        trips = _through_csv(trips, types, via_csv)
+        write_pairs_csv(trips, via_csv, "Fare_amount", "Trip_distance", partition_by=["taxi_type"])
+        trips = read_pairs_csv(trips.sparkSession, via_csv, "Fare_amount", "Trip_distance", ["taxi_type"])
+    elif drawn:
+        trips = stored(trips, "sample")
     return fit_price(trips, by=["taxi_type"])
 
 
-def _through_csv(trips: DataFrame, types: Sequence[str], folder: str) -> DataFrame:
-    spark, parts = trips.sparkSession, []
-    for t in types:
-        path = f"{folder}/{t}/Fare_amount-Trip_distance"
-        write_pairs_csv(trips.where(F.col("taxi_type") == t), path, "Fare_amount", "Trip_distance")
-        parts.append(tag(read_pairs_csv(spark, path, "Fare_amount", "Trip_distance"), taxi_type=t))
-    return union_all(parts, fold_case=False)
-
-
 # --- warehouse side -----------------------------------------------------------------
 
 
-def clean_metered(frames: Mapping[int, DataFrame], taxi_type: str, legacy: bool = False) -> DataFrame:
-    """Valid green or yellow trips of several years as text.
+def clean_metered(
+    frames: Mapping[int, DataFrame], taxi_type: str, legacy: bool = False, numeric: bool = False
+) -> DataFrame:
+    """Valid green or yellow trips of several years as text, or with ``numeric`` typed.
 
     Coordinates are required of the years that record them. ``legacy`` requires them of
-    2017 as well, which records none, and so drops that year.
+    2017 as well, which records none, and so drops that year. Typed tests reach the scan.
     """
     parts = []
     for year, df in frames.items():
         coords = layout_for(taxi_type, year).lon is not None or (legacy and year == 2017)
-        parts.append(valid_metered(project_metered(df), coords=coords))
+        parts.append(valid_metered(project_metered(df, numeric), coords=coords, numeric=numeric))
     return union_all(parts, fold_case=False)
 
 
-def clean_fhv(frames: Mapping[int, DataFrame]) -> DataFrame:
-    """Hired-vehicle trips of several years with a known zone."""
+def clean_fhv(frames: Mapping[int, DataFrame], year: str | None = None) -> DataFrame:
+    """Hired-vehicle trips of several years, or of one, with a known zone."""
+    if year:
+        # On a timestamp the year is a range a scan can use.
+        frames = {
+            y: year_guard(df, int(year), "pickup_datetime", "prefix" if _is_text(df, "pickup_datetime") else "range")
+            for y, df in frames.items()
+        }
     trips = union_all([project_fhv(df) for df in frames.values()], fold_case=False)
     trips = require(trips, ["location_id", "pickup_datetime", "borough", "zone", "service_zone"])
     return drop_unknown_zone(trips)
 
 
+def _is_text(df: DataFrame, col: str) -> bool:
+    return dict(df.dtypes)[col] == "string"
+
+
 def zoned(trips: DataFrame, zones: DataFrame, key: str, dedup_dim: bool = True) -> DataFrame:
     """Trips of known zones with zone name and borough."""
     trips = trips.drop("borough")
@@ -180,26 +195,26 @@ def monthly_zone_counts(
     relabel_fhv_to: str | None = "2018",
     legacy: bool = False,
     dedup_dim: bool = True,
+    numeric: bool = False,
 ) -> DataFrame:
     """Trips per month, zone and taxi type over three warehouse families.
 
     Hired-vehicle data end a year before the metered ones, so ``fhv_year`` alone is kept
     and laid over ``relabel_fhv_to``; pass ``None`` for the two to count true years.
     """
-    hired = clean_fhv(fhv)
-    if fhv_year:
-        hired = hired.where(F.col("pickup_datetime").startswith(fhv_year))
-        if relabel_fhv_to:
-            hired = shift_year(hired, fhv_year, relabel_fhv_to)
+    hired = clean_fhv(fhv, fhv_year)
+    if fhv_year and relabel_fhv_to:
+        hired = shift_year(hired, fhv_year, relabel_fhv_to)
     families = {
         "fhv": (hired, "location_id"),
-        "green": (clean_metered(green, "green", legacy), "pickup_location_id"),
-        "yellow": (clean_metered(yellow, "yellow", legacy), "pickup_location_id"),
+        "green": (clean_metered(green, "green", legacy, numeric), "pickup_location_id"),
+        "yellow": (clean_metered(yellow, "yellow", legacy, numeric), "pickup_location_id"),
     }
     # Unions of the few needed columns come first, so one join and one aggregation do.
+    month = month_key(F.col("pickup_datetime")).alias("pickup_datetime")
     trips = union_all(
         [
-            tag(df.select(F.col(key).alias("zone"), "pickup_datetime"), taxi_type=WAREHOUSE_TYPES[t])
+            tag(df.select(F.col(key).alias("zone"), month), taxi_type=WAREHOUSE_TYPES[t])
             for t, (df, key) in families.items()
         ],
         fold_case=False,
