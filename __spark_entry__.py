@@ -7,7 +7,7 @@ The tables hold orders and events rather than trips, so three views stand in:
 * ``orders``  alone, cut into slices that carry the headers of the raw yearly files
 
 Each view covers its whole tables. Every query is paired with the SQL that states the
-same result; ``bernoulli_sample`` has none because its rows depend on the partitions.
+same result, for ``bernoulli_sample`` the properties of one.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tripflow.functions.casts import parse_ts, to_double, to_int
 from tripflow.functions.timeparts import (
@@ -56,8 +57,8 @@ from tripflow.operators.stats import correlate, correlation_screen
 from tripflow.plans import jobs
 from tripflow.session import scratch_path
 from tripflow.sources.readers import read_pairs_csv, read_table, read_trips_csv, read_warehouse
-from tripflow.sources.schemas import DAILY
-from tripflow.sources.writers import preview, publish_table, write_pairs_csv, write_table, write_warehouse
+from tripflow.sources.schemas import DAILY, MONTH_MAP
+from tripflow.sources.writers import preview, publish_table, stored, write_pairs_csv, write_table, write_warehouse
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -118,8 +119,8 @@ def pings(spark: SparkSession, d: str) -> DataFrame:
         F.col("c_nationkey").alias("locationID"),
         F.lit("New York").alias("City"),
         F.when(kind == "click", "green").when(kind == "view", "yellow").otherwise("fhv").alias("taxi_type"),
-        (-(F.col("user_id") % 180)).cast("double").alias("Pickup_longitude"),
-        (F.col("user_id") % 90).cast("double").alias("Pickup_latitude"),
+        (-(F.col("user_id") % 180) / 4.0).alias("Pickup_longitude"),
+        ((F.col("user_id") % 90) / 8.0).alias("Pickup_latitude"),
         (F.col("event_id") % 7).cast("int").alias("Passenger_count"),
         (F.col("value") / 2.5).alias("Trip_distance"),
         F.col("value").alias("Fare_amount"),
@@ -134,7 +135,7 @@ zones AS (
 pings AS (
   SELECT event_id, ts, c_nationkey AS location_id, 'New York' AS city,
     CASE event_type WHEN 'click' THEN 'green' WHEN 'view' THEN 'yellow' ELSE 'fhv' END AS taxi_type,
-    CAST(-(user_id % 180) AS DOUBLE) AS lon, CAST(user_id % 90 AS DOUBLE) AS lat,
+    CAST(-(user_id % 180) AS DOUBLE) / 4 AS lon, CAST(user_id % 90 AS DOUBLE) / 8 AS lat,
     CAST(event_id % 7 AS INTEGER) AS passenger_count, value / 2.5 AS trip_distance, value AS fare_amount
   FROM events JOIN customer ON user_id = c_custkey)
 """
@@ -155,13 +156,7 @@ def _warehouse_pings(spark: SparkSession, d: str, taxi_type: str) -> DataFrame:
                 "locationID": "pickup_location_id",
             }
         )
-        .withColumns(
-            {
-                "vendor_id": (F.col("event_id") % 2).cast("string"),
-                "pickup_longitude": F.col("pickup_longitude").cast("int"),
-                "pickup_latitude": F.col("pickup_latitude").cast("int"),
-            }
-        )
+        .withColumn("vendor_id", (F.col("event_id") % 2).cast("string"))
     )
 
 
@@ -294,6 +289,21 @@ GROUP BY CAST(pickup_ts AS DATE), borough, taxi_type
 """
 
 
+_DAILY_LEGACY_SQL = _DAILY_SQL.replace(
+    "dayname(CAST(pickup_ts AS DATE))", "dayname(make_date(year(CAST(pickup_ts AS DATE)), 1, day(CAST(pickup_ts AS DATE))))"
+)
+
+
+@_query("daily_legacy_dow", _DAILY_LEGACY_SQL)
+def q_daily_legacy_dow(spark, d):
+    return jobs.daily_counts(enrich_zone(trips(spark, d), zones(spark, d)), legacy_dow=True)
+
+
+@_query("daily_bigint", _DAILY_SQL.replace("CAST(count(*) AS INTEGER)", "count(*)"))
+def q_daily_bigint(spark, d):
+    return jobs.daily_counts(enrich_zone(trips(spark, d), zones(spark, d)), count_type="bigint")
+
+
 @_query("daily_business", _DAILY_SQL)
 def q_daily_business(spark, d):
     return daily_business(enrich_zone(trips(spark, d), zones(spark, d)))
@@ -373,41 +383,48 @@ def q_zone_fanout(spark, d):
     return union_all(parts)
 
 
-@_query(
-    "month_map",
-    f"""
+_MONTH_MAP_SQL = f"""
 WITH {_PINGS}
 SELECT city AS "City", taxi_type, lon AS "Pickup_longitude", lat AS "Pickup_latitude",
   passenger_count AS "Passenger_count", trip_distance AS "Trip_distance", fare_amount AS "Fare_amount",
   CAST(1 AS INTEGER) AS "Count", time_bucket(INTERVAL 10 MINUTE, ts) AS "Pickup_DataTimeTenMins"
 FROM pings
 WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-15' AND taxi_type IN ('green', 'yellow')
-  AND lon < 0 AND lat > 0 AND passenger_count > 0 AND fare_amount > 0""",
-)
+  AND lon < 0 AND lat > 0 AND passenger_count > 0 AND fare_amount > 0"""
+
+
+@_query("month_map", _MONTH_MAP_SQL)
 def q_month_map(spark, d):
     return jobs.month_map(pings(spark, d), datetime(2024, 1, 5), datetime(2024, 1, 15))
 
 
-@_query(
-    "heat_one_day",
-    f"""
+def _heat_sql(dow: str) -> str:
+    return f"""
 WITH {_PINGS}, t AS (
   SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS text FROM pings
   WHERE CAST(ts AS DATE) = DATE '2024-01-30' AND taxi_type IN ('green', 'yellow')
-    AND NOT starts_with(CAST(CAST(lon AS INTEGER) AS VARCHAR), '0'))
+    AND NOT starts_with(CAST(lon AS VARCHAR), '0'))
 SELECT CAST(event_id % 2 AS VARCHAR) AS vendor_id, CAST(ts AS VARCHAR) AS pickup_datetime,
-  CAST(CAST(lon AS INTEGER) AS VARCHAR) AS pickup_longitude, CAST(CAST(lat AS INTEGER) AS VARCHAR) AS pickup_latitude,
-  strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, dayname(ts) AS dow,
+  CAST(lon AS VARCHAR) AS pickup_longitude, CAST(lat AS VARCHAR) AS pickup_latitude,
+  strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day, {dow} AS dow,
   strftime(ts, '%H') AS hour, substr(text, 15, 1) || '0' AS ten_mins,
   CASE taxi_type WHEN 'green' THEN 'Green' ELSE 'Yellow' END AS taxi_type,
   CAST(1 AS INTEGER) AS "Count", city AS "City"
-FROM t""",
-)
+FROM t"""
+
+
+@_query("heat_one_day", _heat_sql("dayname(ts)"))
 def q_heat_one_day(spark, d):
     green, yellow = (_warehouse_pings(spark, d, t) for t in ("green", "yellow"))
     return jobs.heat_one_day(green, yellow, date(2024, 1, 30))
 
 
+@_query("heat_legacy_dow", _heat_sql("dayname(make_date(year(ts), 1, day(ts)))"))
+def q_heat_legacy_dow(spark, d):
+    green, yellow = (_warehouse_pings(spark, d, t) for t in ("green", "yellow"))
+    return jobs.heat_one_day(green, yellow, date(2024, 1, 30), legacy_dow=True)
+
+
 @_query(
     "bucket_prices",
     f"""
@@ -426,29 +443,40 @@ def q_bucket_prices(spark, d):
     )
 
 
-@_query(
-    "borough_prices",
-    f"""
+def _borough_sql(usable: str) -> str:
+    return f"""
 WITH {_PINGS}
 SELECT substr(strftime(ts, '%Y-%m-%d %H:%M'), 1, 15) AS pickup_datetime, borough,
   CASE taxi_type WHEN 'green' THEN 'Green' ELSE 'Yellow' END AS taxi_type,
   {_round('avg(fare_amount)')} AS fare_amount_avg, {_round('avg(trip_distance)')} AS trip_distance_avg
 FROM pings JOIN (SELECT zone_id, CASE borough WHEN 'ASIA' THEN 'Queens' WHEN 'AFRICA' THEN 'Bronx' ELSE 'Brooklyn' END AS borough
                  FROM zones) ON location_id = zone_id
-WHERE taxi_type IN ('green', 'yellow') AND fare_amount >= 1 AND trip_distance >= 1
-GROUP BY 1, 2, 3""",
-)
-def q_borough_prices(spark, d):
+WHERE taxi_type IN ('green', 'yellow') AND {usable}
+GROUP BY 1, 2, 3"""
+
+
+def _borough_prices(spark: SparkSession, d: str, numeric: bool) -> DataFrame:
     renamed = zones(spark, d).withColumn(
         "borough", F.expr("CASE borough WHEN 'ASIA' THEN 'Queens' WHEN 'AFRICA' THEN 'Bronx' ELSE 'Brooklyn' END")
     )
-    green, yellow = (jobs.clean_metered({2018: _warehouse_pings(spark, d, t)}, t) for t in ("green", "yellow"))
-    return _rounded(jobs.borough_prices(green, yellow, renamed), "fare_amount_avg", "trip_distance_avg")
+    green, yellow = (
+        jobs.clean_metered({2018: _warehouse_pings(spark, d, t)}, t, numeric=numeric) for t in ("green", "yellow")
+    )
+    return _rounded(jobs.borough_prices(green, yellow, renamed, numeric), "fare_amount_avg", "trip_distance_avg")
 
 
-@_query(
-    "monthly_zone_counts",
-    """
+@_query("borough_prices", _borough_sql("fare_amount >= 1 AND trip_distance >= 1"))
+def q_borough_prices(spark, d):
+    return _borough_prices(spark, d, False)
+
+
+@_query("borough_prices_numeric", _borough_sql("fare_amount > 0 AND trip_distance > 0"))
+def q_borough_prices_numeric(spark, d):
+    return _borough_prices(spark, d, True)
+
+
+def _zone_counts_sql(late: str) -> str:
+    return f"""
 WITH z AS (SELECT CAST(n_nationkey AS VARCHAR) AS zone_id, n_name AS zone_name FROM nation),
 o AS (
   SELECT o_orderstatus AS s, CAST(year(o_orderdate) AS INTEGER) AS y, strftime(o_orderdate, '%Y-%m') AS k,
@@ -458,14 +486,15 @@ t AS (
   SELECT replace(k, '1997', '1998') AS k, zone, 'FHV' AS taxi_type
   FROM (SELECT strftime(o_orderdate, '%Y-%m') AS k, CAST(o_custkey % 31 AS VARCHAR) AS zone FROM orders
         WHERE o_orderstatus = 'P' AND year(o_orderdate) = 1997 AND o_orderpriority <> '5-LOW')
-  UNION ALL SELECT k, zone, 'Green' FROM o WHERE s = 'F' AND y >= 1998
-  UNION ALL SELECT k, zone, 'Yellow' FROM o WHERE s = 'O' AND y >= 1998),
+  UNION ALL SELECT k, zone, 'Green' FROM o WHERE s = 'F' AND {late}
+  UNION ALL SELECT k, zone, 'Yellow' FROM o WHERE s = 'O' AND {late}),
 m AS (SELECT k, zone_name, taxi_type, count(*) AS n FROM t JOIN z ON zone = zone_id GROUP BY 1, 2, 3)
 SELECT k AS year_month_day, zone_name, n AS "count", taxi_type, substr(k, 1, 4) AS year,
   CAST(substr(k, 6, 2) AS INTEGER) AS month, k || '-00' AS year_month_day_new
-FROM m""",
-)
-def q_monthly_zone_counts(spark, d):
+FROM m"""
+
+
+def _zone_counts(spark: SparkSession, d: str, late_year: int = 2018, **options) -> DataFrame:
     orders = _table(spark, d, "orders").withColumns(
         {
             "pickup_datetime": F.col("o_orderdate"),
@@ -492,13 +521,29 @@ def q_monthly_zone_counts(spark, d):
             *base, F.lit(-73.9).alias("pickup_longitude"), F.lit(40.7).alias("pickup_latitude")
         )
         with_zone = late.select(*base, F.col("zone_no").alias("pickup_location_id"))
-        return {2016: with_coords, 2018: with_zone}
+        return {2016: with_coords, late_year: with_zone}
 
     return jobs.monthly_zone_counts(
-        {2017: hired}, metered("F"), metered("O"), zones(spark, d), fhv_year="1997", relabel_fhv_to="1998"
+        {2017: hired}, metered("F"), metered("O"), zones(spark, d), fhv_year="1997", relabel_fhv_to="1998", **options
     )
 
 
+@_query("monthly_zone_counts", _zone_counts_sql("y >= 1998"))
+def q_monthly_zone_counts(spark, d):
+    return _zone_counts(spark, d)
+
+
+@_query("monthly_zone_counts_numeric", _zone_counts_sql("y >= 1998"))
+def q_monthly_zone_counts_numeric(spark, d):
+    return _zone_counts(spark, d, numeric=True)
+
+
+# The compatible mode asks coordinates of 2017, which has none: only the hired vehicles are left.
+@_query("monthly_zone_counts_legacy", _zone_counts_sql("false"))
+def q_monthly_zone_counts_legacy(spark, d):
+    return _zone_counts(spark, d, late_year=2017, legacy=True)
+
+
 @_query(
     "union_by_name",
     """
@@ -516,6 +561,13 @@ def q_union_by_name(spark, d):
     return union_all([customer, supplier, part])
 
 
+@_query("empty_union", "SELECT s_suppkey AS id, s_name AS name FROM supplier")
+def q_empty_union(spark, d):
+    suppliers = _table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    seed = union_all([], spark=spark, schema=suppliers.schema)
+    return union_all([seed, suppliers], fold_case=False)
+
+
 @_query("align_years", f"WITH {_SLICED} SELECT * FROM canon")
 def q_align_years(spark, d):
     return union_all([align_year(df, t, y) for (t, y), df in _raw_slices(spark, d).items()], fold_case=False)
@@ -541,7 +593,26 @@ def q_unify_trips(spark, d):
         paths[(taxi_type, year)] = f"{folder}/{taxi_type}_tripdata_{year}"
         writer = df.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
         writer.option("ignoreTrailingWhiteSpace", False).csv(paths[(taxi_type, year)])
-    return jobs.unify_trips(spark, paths, zones(spark, d))
+    # Some years declare their header, the others are looked at.
+    declared = {
+        key: StructType([StructField(c, StringType()) for c in header]) for key, header in _HEADERS.items() if key[1] > 2014
+    }
+    return jobs.unify_trips(spark, paths, zones(spark, d), schemas=declared)
+
+
+@_query(
+    "glob_list",
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS "key", CAST(o_custkey AS VARCHAR) AS cust FROM orders""",
+)
+def q_glob_list(spark, d):
+    orders, folder = _table(spark, d, "orders"), scratch_path(spark, "globs")
+    key, cust = F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("cust")
+    slices = {"early_a": "F", "early_b": "O", "late": "P"}
+    for name, status in slices.items():
+        columns = (cust, key) if name == "early_b" else (key, cust)
+        orders.where(F.col("o_orderstatus") == status).select(*columns).write.option("header", True).csv(f"{folder}/{name}")
+    return read_trips_csv(spark, [f"{folder}/early_*", f"{folder}/late"])
 
 
 @_query(
@@ -633,6 +704,24 @@ def q_valid_metered_numeric(spark, d):
     return _line_ids(valid_metered(_lines(spark, d), numeric=True))
 
 
+@_query(
+    "drop_unreasonable_numeric",
+    _LINES + "CAST(passengers AS INTEGER) <> 0 AND CAST(fare AS DOUBLE) >= 0 AND lon <> '0' AND CAST(lat AS DOUBLE) <> 0",
+)
+def q_drop_unreasonable_numeric(spark, d):
+    return _line_ids(drop_unreasonable(_lines(spark, d), numeric=True))
+
+
+@_query("located_numeric", _LINES + "CAST(lon AS DOUBLE) <> 0")
+def q_located_numeric(spark, d):
+    return _line_ids(located(_lines(spark, d), numeric=True))
+
+
+@_query("priceable_numeric", _LINES + "CAST(fare AS DOUBLE) > 0 AND CAST(distance AS DOUBLE) > 0")
+def q_priceable_numeric(spark, d):
+    return _line_ids(priceable(_lines(spark, d), numeric=True))
+
+
 @_query("located", _LINES + "NOT starts_with(lon, '0')")
 def q_located(spark, d):
     return _line_ids(located(_lines(spark, d)))
@@ -723,7 +812,9 @@ def q_shift_year(spark, d):
 WITH t AS (
   SELECT o_orderkey,
     CASE o_orderstatus WHEN 'F' THEN '' WHEN 'P' THEN 'abc' ELSE CAST(o_totalprice AS VARCHAR) END AS number,
-    CASE WHEN o_orderpriority = '5-LOW' THEN 'never' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS moment
+    CASE o_orderpriority WHEN '5-LOW' THEN 'never' WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.0')
+      WHEN '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M') || ':00'
+      ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS moment
   FROM orders)
 SELECT o_orderkey, CAST(trunc(TRY_CAST(number AS DOUBLE)) AS INTEGER) AS whole,
   TRY_CAST(number AS DOUBLE) AS price, TRY_CAST(moment AS TIMESTAMP) AS ts
@@ -731,8 +822,12 @@ FROM t""",
 )
 def q_safe_casts(spark, d):
     number = F.expr("CASE o_orderstatus WHEN 'F' THEN '' WHEN 'P' THEN 'abc' ELSE cast(o_totalprice AS string) END")
-    moment = F.when(F.col("o_orderpriority") == "5-LOW", "never").otherwise(
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    priority, text = F.col("o_orderpriority"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    moment = (
+        F.when(priority == "5-LOW", "never")
+        .when(priority == "1-URGENT", F.concat(text, F.lit(".0")))
+        .when(priority == "2-HIGH", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm"))
+        .otherwise(text)
     )
     return _table(spark, d, "orders").select(
         "o_orderkey", to_int(number).alias("whole"), to_double(number).alias("price"), parse_ts(moment).alias("ts")
@@ -816,11 +911,11 @@ def q_pairs_roundtrip(spark, d):
 
 @_query(
     "csv_roundtrip",
-    "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier",
+    "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey, CAST(s_acctbal AS VARCHAR) AS s_acctbal FROM supplier",
 )
 def q_csv_roundtrip(spark, d):
     path = scratch_path(spark, "suppliers")
-    _table(spark, d, "supplier").drop("s_acctbal").write.option("header", True).csv(path)
+    _table(spark, d, "supplier").write.option("header", True).csv(path)
     return read_trips_csv(spark, path)
 
 
@@ -839,13 +934,29 @@ def q_parquet_roundtrip(spark, d):
     return read_table(spark, path)
 
 
+def _read_once(spark: SparkSession, name: str) -> DataFrame:
+    """An external table as a DataFrame, and its name out of the catalog again; the files stay."""
+    df = read_warehouse(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    return df
+
+
 @_query("table_publish", _DAILY_SQL)
 def q_table_publish(spark, d):
     path = scratch_path(spark, "daily")
     name = f"daily_{path.split('/')[-2]}"
     write_table(jobs.daily_counts(enrich_zone(trips(spark, d), zones(spark, d))), path, compact=True)
     publish_table(spark, name, DAILY, path)
-    return read_warehouse(spark, name)
+    return _read_once(spark, name)
+
+
+@_query("map_publish", _MONTH_MAP_SQL)
+def q_map_publish(spark, d):
+    path = scratch_path(spark, "map")
+    name = f"map_{path.split('/')[-2]}"
+    write_table(jobs.month_map(pings(spark, d), datetime(2024, 1, 5), datetime(2024, 1, 15)), path, compact=True)
+    publish_table(spark, name, MONTH_MAP, path)
+    return _read_once(spark, name)
 
 
 @_query("warehouse_roundtrip", _DAILY_SQL)
@@ -854,7 +965,7 @@ def q_warehouse_roundtrip(spark, d):
     name = f"daily_{path.split('/')[-2]}"
     daily = jobs.daily_counts(enrich_zone(trips(spark, d), zones(spark, d)))
     write_warehouse(daily, name, path=path)
-    return read_warehouse(spark, name)
+    return _read_once(spark, name)
 
 
 @_query(
@@ -875,9 +986,39 @@ def q_hash_sample(spark, d):
     return hash_sample(_table(spark, d, "orders"), "o_orderkey", fraction=0.1).select("o_orderkey")
 
 
-@_query("bernoulli_sample", None)
+_EDGES = {"none": 0.0, "one": 2.0**-32, "tenth": 0.1, "below_one": 1 - 2.0**-33, "nearly": 0.9999999999, "all": 1.0}
+
+
+@_query(
+    "hash_sample_edges",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS share, o_orderkey FROM orders "
+        f"WHERE ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT < {round(fraction * 2**32)}"
+        for name, fraction in _EDGES.items()
+    ),
+)
+def q_hash_sample_edges(spark, d):
+    orders = _table(spark, d, "orders").select("o_orderkey")
+    parts = [tag(hash_sample(orders, "o_orderkey", fraction=f), share=name) for name, f in _EDGES.items()]
+    return union_all(parts, fold_case=False)
+
+
+# Which rows a Bernoulli sample takes depends on the partitions; what SQL can state are its properties.
+@_query(
+    "bernoulli_sample",
+    "SELECT count(*) AS total, true AS subset, true AS no_repeats, true AS share_within FROM orders",
+)
 def q_bernoulli_sample(spark, d):
-    return sample_rows(_table(spark, d, "orders"), 0.1, 30).select("o_orderkey")
+    orders = _table(spark, d, "orders").select("o_orderkey")
+    drawn = stored(sample_rows(orders, 0.1, 30), "drawn").groupBy(F.col("o_orderkey").alias("key")).agg(F.count("*").alias("n"))
+    both = orders.join(drawn, F.col("o_orderkey") == F.col("key"), "full")
+    share = F.coalesce(F.sum("n"), F.lit(0)) / F.count("o_orderkey")
+    return both.agg(
+        F.count("o_orderkey").alias("total"),
+        (F.count_if(F.col("o_orderkey").isNull()) == 0).alias("subset"),
+        (F.coalesce(F.max("n"), F.lit(1)) == 1).alias("no_repeats"),
+        share.between(0.05, 0.15).alias("share_within"),
+    )
 
 
 # --- statistics and regression ------------------------------------------------------
@@ -1006,6 +1147,20 @@ def q_price_regression(spark, d):
     return _rounded(models, *_METRICS)
 
 
+@_query(
+    "price_regression_all",
+    f"WITH {_TRIPS}, "
+    + _fit_sql(
+        """SELECT taxi_type, fare_amount AS y, trip_distance AS x FROM trips
+  WHERE taxi_type IN ('green', 'yellow') AND pickup_ts BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1999-12-31'
+    AND trip_distance > 1 AND fare_amount > 1"""
+    ),
+)
+def q_price_regression_all(spark, d):
+    models = jobs.price_regression(trips(spark, d), datetime(1997, 1, 1), datetime(1999, 12, 31), fraction=None)
+    return _rounded(models, *_METRICS)
+
+
 @_query(
     "warehouse_regression",
     f"WITH {_PINGS}, "
