@@ -23,6 +23,8 @@ from tripflow.llm.common import ascii_lower, row_key
 
 THRESHOLD = 0.8
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+# A character of a word before lower-casing.
+LETTER = "[0-9A-Za-z\\x{80}-\\x{10FFFF}]"
 
 # The phrases of the base rule and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -93,9 +95,11 @@ def find_notices(
     table = templates_table(spark, templates, threshold)
     order = token_order(spark, docs, text_col, table)
     prefix, full = join_tables(table, order)
-    starts = F.array(*map(F.lit, sorted({row.token for row in prefix.collect()})))
+    listed = sorted({row.token for row in prefix.collect()})
+    starts = F.array(*map(F.lit, listed))
     least = min(row.needed for row in table.select("needed").collect())
-    lines = docs.select(
+    # Texts without any prefix word as a word of its own have no candidate block; one scan leaves them out.
+    lines = docs.where(F.regexp_like(F.col(text_col), F.lit(f"(?i)(?<!{LETTER})(?:{'|'.join(listed)})(?!{LETTER})"))).select(
         F.col(id_col).alias("_id"),
         row_key(F.col(text_col)).alias("_key"),
         F.posexplode(F.split(text_col, "\n", -1)).alias("line", "block"),
