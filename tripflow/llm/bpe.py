@@ -2,9 +2,10 @@
 
 Texts are cut into pre-tokens in blocks of about ``block_words``. A block keeps its distinct words once, and for each
 document the positions as numbers of those words (most frequent first, as base-128 digits). The words of all blocks are
-shuffled once, each distinct one is encoded once whatever its frequency, and its ids are joined back to the blocks that
-use it; a block then puts the ids of its documents together by position. A frequent word costs one row per block, and
-AQE splits its join partition. Decoding looks every id up in the token-byte table, which the vocabulary bounds.
+shuffled once and sorted, so that each distinct one is encoded once whatever its frequency; its ids go back to the
+blocks that use it, and a block puts the ids of its documents together by position. A word costs one row per block
+however often it occurs there, so no word is hot. Blocks are stored in buckets by their number: only words and ids move,
+never the positions. Decoding looks every id up in the token-byte table, which the vocabulary bounds.
 
 Defined results: a NULL text is an empty one (no ids, no bytes); repeated rows are encoded each; an empty table gives
 no rows. Text is UTF-8 and the ranks hold all 256 bytes, so every text can be encoded and decoding restores its bytes.
@@ -26,9 +27,12 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import arrow_type, rows_of, stored
+from tripflow.llm.common import arrow_type, rows_of, small_batches
+from tripflow.session import scratch_path
 
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 6_000_000
+PART_WORDS = 200_000
+PIECE = 1_000_000
 BATCH_TOKENS = 2_000_000
 
 
@@ -57,32 +61,44 @@ def _shared(spark: SparkSession, path: str, pattern: str):
 # --- positions as base-128 digits -------------------------------------------------------
 
 
-def pack(numbers: np.ndarray) -> bytes:
-    """Unsigned numbers as base-128 digits, low first; all but the last digit of a number carry the high bit."""
-    numbers = numbers.astype(np.uint32)
-    sizes = 1 + sum((numbers >= np.uint32(1 << s)).astype(np.int64) for s in (7, 14, 21, 28))
-    ends = np.cumsum(sizes)
-    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-    for k in range(5):
-        rows = np.flatnonzero(sizes > k)
-        if not len(rows):
-            break
-        more = (sizes[rows] > k + 1).astype(np.uint8) << 7
-        out[ends[rows] - sizes[rows] + k] = ((numbers[rows] >> np.uint32(7 * k)) & np.uint32(127)).astype(np.uint8) | more
-    return out.tobytes()
+def pack(numbers: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Numbers below 2^35 as base-128 digits, low first, and where each ends.
+
+    All but the last digit of a number carry the high bit. Worked on in pieces, to stay small beside the result.
+    """
+    parts, all_ends, before = [], [np.zeros(0, np.int64)], 0
+    for i in range(0, len(numbers), PIECE):
+        part = numbers[i : i + PIECE].astype(np.int64)
+        sizes = 1 + sum((part >= 1 << s).astype(np.int64) for s in (7, 14, 21, 28))
+        ends = np.cumsum(sizes)
+        out = np.zeros(int(ends[-1]), np.uint8)
+        for k in range(int(sizes.max())):
+            rows = np.flatnonzero(sizes > k)
+            more = (sizes[rows] > k + 1).astype(np.int64) << 7
+            out[ends[rows] - sizes[rows] + k] = (part[rows] >> (7 * k)) & 127 | more
+        parts.append(out.tobytes())
+        all_ends.append(ends + before)
+        before += int(ends[-1])
+    return b"".join(parts), np.concatenate(all_ends)
 
 
 def unpack(packed: bytes) -> np.ndarray:
     digits = np.frombuffer(packed, np.uint8)
-    last = np.flatnonzero(digits < 128)
-    first = np.concatenate([[0], last[:-1] + 1]).astype(np.int64) if len(last) else np.zeros(0, np.int64)
-    out = np.zeros(len(last), np.int64)
-    for k in range(5):
-        rows = np.flatnonzero(last - first >= k)
-        if not len(rows):
-            break
-        out[rows] |= (digits[first[rows] + k].astype(np.int64) & 127) << (7 * k)
-    return out
+    parts, first = [np.zeros(0, np.int64)], 0
+    while first < len(digits):
+        end = min(first + PIECE, len(digits))
+        while digits[end - 1] >= 128:  # finish the number
+            end += 1
+        part = digits[first:end]
+        last = np.flatnonzero(part < 128)
+        start = np.concatenate([[0], last[:-1] + 1])
+        out = np.zeros(len(last), np.int64)
+        for k in range(int((last - start).max()) + 1):
+            rows = np.flatnonzero(last - start >= k)
+            out[rows] |= (part[start[rows] + k].astype(np.int64) & 127) << (7 * k)
+        parts.append(out.astype(np.int32) if len(out) and out.max() < 2**31 else out)
+        first = end
+    return np.concatenate(parts[1:] or parts)
 
 
 # --- encoding -----------------------------------------------------------------------------
@@ -92,10 +108,10 @@ def _blocks(rows: Iterable[tuple], find, block_words: int) -> Iterator[tuple]:
     def closed():
         flat = np.concatenate(words) if words else np.zeros(0, np.int32)
         order = np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         names = list(number)
-        return ids, np.cumsum([0, *map(len, words)]).astype(np.int64), pack(rank[flat]), [names[i] for i in order]
+        return ids, np.cumsum([0, *map(len, words)]).astype(np.int64), pack(rank[flat])[0], [names[i] for i in order]
 
     ids, words, size, number = [], [], 0, defaultdict(count().__next__)
     for doc, text in rows:
@@ -120,6 +136,7 @@ def encode(
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """``_id`` and ``ids`` (array of token ids) of every row."""
+    small_batches(spark)
     shared = _shared(spark, vocabulary_path, pattern)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -130,7 +147,7 @@ def encode(
         for ids, bounds, codes, words in _blocks(rows_of(batches, "_id", "_text"), find, block_words):
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([uuid.uuid4().hex]),
+                    pa.array([uuid.uuid4().int >> 65], pa.int64()),
                     pa.array([ids], pa.list_(id_type)),
                     pa.array([bounds.tobytes()], pa.binary()),
                     pa.array([codes], pa.binary()),
@@ -139,25 +156,22 @@ def encode(
                 names=["block", "doc_ids", "bounds", "codes", "words"],
             )
 
-    schema = f"block string, doc_ids array<{kind}>, bounds binary, codes binary, words array<string>"
-    blocks = stored(spark, rows.mapInArrow(cut, schema), "pre-tokens")
-
-    used = blocks.select("block", F.posexplode("words").alias("number", "word"))
+    schema = f"block bigint, doc_ids array<{kind}>, bounds binary, codes binary, words array<string>"
+    blocks = _in_buckets(spark, rows.mapInArrow(cut, schema))
 
     def encode_words(batches):
         vocabulary = shared.value
         encoding = tiktoken.Encoding(
             "ranks", pat_str=vocabulary.pattern, mergeable_ranks=vocabulary.ranks, special_tokens={}
         )
-        piece = encoding._encode_single_piece
-        for batch in batches:
-            words = batch.column("word")
-            yield pa.RecordBatch.from_arrays(
-                [words, pa.array([piece(w) for w in words.to_pylist()], pa.list_(pa.int32()))], names=["word", "ids"]
-            )
+        for blocks, numbers, sizes, ids in _encoded(batches, encoding._encode_single_piece):
+            yield _by_block(blocks, numbers, sizes, ids)
 
-    encoded = used.select("word").distinct().mapInArrow(encode_words, "word string, ids array<int>")
-    named = used.join(encoded, "word").groupBy("block").agg(F.collect_list(F.struct("number", "ids")).alias("named"))
+    used = blocks.select("block", F.posexplode("words").alias("number", "word"))
+    parts = used.repartition(F.col("word")).sortWithinPartitions("word").mapInArrow(
+        encode_words, "block bigint, numbers binary, sizes binary, ids binary"
+    )
+    named = parts.groupBy("block").agg(F.collect_list(F.struct("numbers", "sizes", "ids")).alias("named"))
     # Blocks without any word keep their documents.
     whole = blocks.select("block", "doc_ids", "bounds", "codes").join(named, "block", "left")
 
@@ -168,20 +182,75 @@ def encode(
     return whole.mapInArrow(assemble, f"_id {kind}, ids array<int>")
 
 
+def _in_buckets(spark: SparkSession, blocks: DataFrame) -> DataFrame:
+    """Blocks stored in the shared folder, bucketed by their number, so that joining on it does not move them.
+
+    Buckets need a table; its name leaves the catalog at once, the files stay.
+    """
+    name = f"pre_tokens_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = blocks.write.option("compression", "zstd").option("path", scratch_path(spark, "pre-tokens"))
+    writer.bucketBy(buckets, "block").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
+def _encoded(batches: Iterable, piece) -> Iterator[tuple]:
+    """Ids of sorted words, each distinct word encoded once; in parts of about ``PART_WORDS`` rows."""
+    blocks, numbers, sizes, ids, last, found = [], [], [], [], None, []
+    rows = 0
+    for batch in batches:
+        for word in batch.column("word").to_pylist():
+            if word != last:
+                last, found = word, piece(word)
+            sizes.append(len(found))
+            ids.extend(found)
+        blocks.append(batch.column("block").to_numpy())
+        numbers.append(batch.column("number").to_numpy())
+        rows += batch.num_rows
+        if rows >= PART_WORDS:
+            yield np.concatenate(blocks), np.concatenate(numbers), np.array(sizes, np.int64), np.array(ids, np.int64)
+            blocks, numbers, sizes, ids, rows = [], [], [], [], 0
+    if rows:
+        yield np.concatenate(blocks), np.concatenate(numbers), np.array(sizes, np.int64), np.array(ids, np.int64)
+
+
+def _spread(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places start, start + 1, ... of every run, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(start - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _by_block(blocks: np.ndarray, numbers: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """A part's rows gathered by block: word numbers, how many ids each has, and the ids, all as base-128 digits."""
+    order = np.argsort(blocks, kind="stable")
+    start = (np.cumsum(sizes) - sizes)[order]
+    blocks, sizes = blocks[order], sizes[order]
+    cuts = np.append(np.flatnonzero(np.diff(blocks, prepend=blocks[0] - 1)), len(blocks))
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+
+    def cut(values, edges):
+        packed, ends = pack(values)
+        edges = np.concatenate([[0], ends])[edges]
+        return pa.array([packed[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], pa.binary())
+
+    columns = [cut(numbers[order], cuts), cut(sizes, cuts), cut(ids[_spread(start, sizes)], upto[cuts])]
+    return pa.RecordBatch.from_arrays([pa.array(blocks[cuts[:-1]]), *columns], names=["block", "numbers", "sizes", "ids"])
+
+
 def _whole_blocks(batches: Iterable) -> Iterator[tuple]:
+    """Blocks with the ids of their words: where a word's ids start, how many there are, and all ids."""
     for batch in batches:
-        named = batch.column("named")
         for i in range(batch.num_rows):
-            pairs = named[i].values
-            if pairs is None or not len(pairs):
-                numbers, sizes, flat = (np.zeros(0, np.int64),) * 3
-            else:
-                ids = pairs.field("ids")
-                numbers = pairs.field("number").to_numpy()
-                sizes = ids.value_lengths().to_numpy()
-                flat = ids.flatten().to_numpy()
+            parts = batch.column("named")[i].as_py() or []
+            none = np.zeros(0, np.int64)
+            numbers, sizes, flat = (
+                np.concatenate([none, *(unpack(part[name]) for part in parts)]) for name in ("numbers", "sizes", "ids")
+            )
             bounds = np.frombuffer(batch.column("bounds")[i].as_py(), np.int64)
-            yield batch.column("doc_ids")[i].values, bounds, batch.column("codes")[i].as_py(), (numbers, sizes, flat)
+            codes = batch.column("codes")[i].as_py()
+            yield batch.column("doc_ids")[i].values, bounds, codes, (numbers, sizes, flat.astype(np.int32))
 
 
 def _assembled(doc_ids: pa.Array, bounds: np.ndarray, codes: bytes, named: tuple, id_type) -> Iterator[pa.RecordBatch]:
@@ -198,7 +267,7 @@ def _assembled(doc_ids: pa.Array, bounds: np.ndarray, codes: bytes, named: tuple
         part = words[bounds[first] : bounds[last]]
         many = length[part]
         ends = np.concatenate([[0], np.cumsum(many)])
-        picked = np.repeat(start[part] - ends[:-1], many) + np.arange(ends[-1])
+        picked = _spread(start[part], many)
         offsets = ends[bounds[first : last + 1] - bounds[first]]
         ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat[picked], pa.int32()))
         yield pa.RecordBatch.from_arrays([doc_ids.slice(first, last - first).cast(id_type), ids], names=["_id", "ids"])
