@@ -15,6 +15,8 @@ from tripflow.session import scratch_path
 
 # Words of the phrase operators in UTF-8 after ASCII lower-casing: runs of digits, a-z and non-ASCII characters.
 WORD_BYTES = re.compile(rb"[0-9a-z\x80-\xff]+")
+# What one Arrow batch holds at most; a longer row is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 500, 4 * 1024 * 1024
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,6 +52,19 @@ def select_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str,
     return docs.join(decided, same, how)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows and ``BATCH_BYTES``; smaller settings are kept.
+
+    The default of 10,000 rows is meant for short rows: of documents it is tens of megabytes in the JVM and again in
+    Python, for every task. The settings have no bearing on results.
+    """
+    prefix = "spark.sql.execution.arrow"
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = str(spark.conf.get(f"{prefix}.{name}")).rstrip("bB")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(f"{prefix}.{name}", str(most))
+
+
 def rows_of(batches: Iterator, *names: str) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples, one value at a time, so that a batch of long texts is not copied whole."""
     for batch in batches:

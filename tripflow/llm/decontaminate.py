@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import WORD_BYTES, arrow_schema, arrow_type, batch_of, row_key, rows_of, select_rows, stored
+from tripflow.llm.common import WORD_BYTES, arrow_schema, arrow_type, batch_of, row_key, rows_of, select_rows, small_batches, stored
 
 WINDOW = 13
 BLOCK_WORDS = 1_000_000
@@ -38,6 +38,7 @@ def build_index(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """Index every word of every text; the stored table is returned."""
+    small_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(
         F.col(id_col).alias("_id"), row_key(F.col(text_col)).alias("_key"), F.col(text_col).cast("binary").alias("_text")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import arrow_type, row_key, rows_of, select_rows, stored
+from tripflow.llm.common import arrow_type, row_key, rows_of, select_rows, small_batches, stored
 from tripflow.llm.components import components
 
 SHINGLE = 3
@@ -48,6 +48,7 @@ def fingerprints(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
     """``_id``, ``_key``, ``fp`` (signed) of every row."""
+    small_batches(spark)
     rows = docs.select(
         F.col(id_col).alias("_id"), row_key(F.col(text_col)).alias("_key"), F.col(text_col).cast("binary").alias("_text")
     )

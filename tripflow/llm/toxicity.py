@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import WORD_BYTES, arrow_schema, arrow_type, batch_of, rows_of
+from tripflow.llm.common import WORD_BYTES, arrow_schema, arrow_type, batch_of, rows_of, small_batches
 
 SAMPLE_ROWS = 20_000
 PRIOR = 500.0
@@ -234,6 +234,7 @@ def score(
     spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per row: ``_id``, ``score`` (0 to 1), ``p_value`` of its best segment, ``passages`` (words a to b, score, expectation)."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
