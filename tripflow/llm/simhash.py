@@ -160,12 +160,12 @@ def one_of_each_group(
     """
     found = near_duplicates(spark, docs, id_col, text_col, shingle, max_bits)
     order = F.struct(F.col("_id").isNull(), "_id", "_key")
-    chosen = found.groupBy("root").agg(F.min_by(F.struct("_id", "_key"), order).alias("r")).select("r.*")
-    kept = select_rows(docs, stored(spark, chosen, "kept"), id_col, text_col, "left_semi")
-    # What repeats a kept row exactly is in the same group: one stays. Rows are already together by id and hash.
+    rows = found.groupBy("root", "_id", "_key").agg(F.count("*").alias("n"))
+    chosen = stored(spark, rows.groupBy("root").agg(F.min_by(F.struct("_id", "_key", "n"), order).alias("r")).select("r.*"), "kept")
+    # Rows that stand once are let through; those repeated exactly are few, and are brought together to keep one.
+    once = stored(spark, chosen.where("n = 1"), "kept-once")
+    repeated = stored(spark, chosen.where("n > 1"), "kept-repeated")
+    copies = select_rows(docs, repeated, id_col, text_col, "left_semi")
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    return (
-        kept.groupBy(F.col(id_col).alias("_id"), row_key(F.col(text_col)).alias("_key"))
-        .agg(F.first(whole).alias("r"))
-        .select("r.*")
-    )
+    one = copies.groupBy(F.col(id_col).alias("_id"), row_key(F.col(text_col)).alias("_key")).agg(F.first(whole).alias("r"))
+    return select_rows(docs, once, id_col, text_col, "left_semi").union(one.select("r.*"))
