@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import arrow_type, rows_of, small_batches
 from tripflow.session import scratch_path
 
-BLOCK_WORDS = 6_000_000
+BLOCK_WORDS = 3_500_000
 PART_WORDS = 200_000
 PIECE = 1_000_000
 BATCH_TOKENS = 2_000_000
