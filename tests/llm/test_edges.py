@@ -305,6 +305,29 @@ def test_license_edges(spark, docs, nothing):
     assert licenses.find_notices(spark, nothing).count() == 0 and licenses.base_notices(nothing).count() == 0
 
 
+def test_license_notices_cross_lines_within_a_span(spark):
+    filler = " ".join(f"wort{i}" for i in range(200))
+    want = set()
+    rows = []
+    for i, (label, text) in enumerate(licenses.TEMPLATES):
+        parts = text.split()
+        for k, (width, mark) in enumerate([(1, ""), (4, "# "), (7, " * ")]):
+            wrapped = "\n".join(mark + " ".join(parts[j : j + width]) for j in range(0, len(parts), width))
+            rows.append((10 * i + k, f"{filler}\n{filler}\n{wrapped}\n{filler}"))
+            want.add((10 * i + k, i, label, 1.0))
+    # One line that holds every word of a template, each far from the next.
+    rows += [(1000 + i, filler.join(f" {w} " for w in t.split())) for i, (_, t) in enumerate(licenses.TEMPLATES)]
+    # Two notices of a kind, and a text that is one long line.
+    rows.append((2000, f"{licenses.TEMPLATES[2][1]} {filler} {licenses.TEMPLATES[2][1]} {filler}"))
+    given = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = licenses.find_notices(spark, given).collect()
+    assert want <= {(r._id, r.template, r.label, r.containment) for r in found}
+    # A template that repeats its first words ("To the ... to this work ... the author") is held from a later one on.
+    assert all(2 <= r.line <= 4 for r in found if r._id < 1000 and not r._id % 10)
+    assert not [r for r in found if 1000 <= r._id < 2000]
+    assert len([r for r in found if r._id == 2000]) == 2
+
+
 # --- 9 ---------------------------------------------------------------------------------
 
 

@@ -1,15 +1,18 @@
 """License notices by an exact set-similarity join with templates.
 
-A text block (a line) holds a template if it contains at least ``threshold`` of the template's distinct words. The join is
-exact: words are ordered by their frequency over all documents, rarest first; a template's prefix is so long that a
+A text block (a window of consecutive words, whatever the line breaks) holds a template if it contains at least
+``threshold`` of the template's distinct words. A window has at most ``SPAN`` times as many words as the template, and one
+starts at every word of the template, so that none is lost between two and far-off words are not put together. The join
+is exact: words are ordered by their frequency over all documents, rarest first; a template's prefix is so long that a
 block with enough of its words holds one of the prefix; a block needs as many distinct words as the threshold asks for;
 and a shared word at some place of the order leaves room for only so many more. What passes is counted.
 
-The templates are fixed, so the prefix table and the template table have a bound and are broadcast. Blocks are cut out
-of whole texts, and only those with a prefix word leave their row. DataFrame functions only.
+The templates are fixed, so the prefix table and the template table have a bound and are broadcast. Whole texts are cut
+into words, and only the surroundings of prefix words leave their row. DataFrame functions only.
 
-Defined results: a NULL text is empty, with no words; words repeated in a block count once; equal blocks of a document
-count each for its places but give its labels once; repeated rows are scanned each.
+Defined results: a NULL text is empty, with no words; words repeated in a block count once; of overlapping blocks the
+one with the most shared words, then the shortest, then the last stands for all; equal blocks of a document count each
+for its places but give its labels once; repeated rows are scanned each.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import ascii_lower, row_key
 
 THRESHOLD = 0.8
+# Words of a block for one of its template, at most; wrapped comments may add a word on each line.
+SPAN = 1.25
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 # A character of a word before lower-casing.
 LETTER = "[0-9A-Za-z\\x{80}-\\x{10FFFF}]"
@@ -51,11 +56,12 @@ def words_of(text: Column) -> Column:
 
 
 def templates_table(spark: SparkSession, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
-    """``template``, ``label``, ``tokens`` (distinct), ``needed`` (how many of them a block must hold)."""
+    """``template``, ``label``, ``tokens`` (distinct), ``needed`` (how many of them a block must hold), ``span`` (its words)."""
     quote = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
     rows = ", ".join(f"({i}, {quote(label)}, {quote(text)})" for i, (label, text) in enumerate(templates))
     table = spark.sql(f"SELECT * FROM VALUES {rows} AS t(template, label, text)")
-    tokens = table.select("template", "label", F.array_distinct(words_of(F.col("text"))).alias("tokens"))
+    span = F.ceil(F.size(words_of(F.col("text"))) * F.lit(SPAN)).cast("int").alias("span")
+    tokens = table.select("template", "label", F.array_distinct(words_of(F.col("text"))).alias("tokens"), span)
     needed = F.greatest(F.lit(1), F.ceil(F.size("tokens") * F.lit(threshold) - 1e-9)).cast("int")
     return tokens.select("*", needed.alias("needed"))
 
@@ -75,7 +81,7 @@ def token_order(spark: SparkSession, docs: DataFrame, text_col: str, templates:
 def join_tables(templates: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
     """The prefix table (``token``, ``template``) and the templates with their tokens in the global order."""
     ordered = templates.select(
-        "template", "label", "needed", F.array_intersect(F.array(*map(F.lit, order)), "tokens").alias("tokens")
+        "template", "label", "needed", "span", F.array_intersect(F.array(*map(F.lit, order)), "tokens").alias("tokens")
     ).withColumn("prefix", F.slice("tokens", F.lit(1), F.size("tokens") - F.col("needed") + 1))
     return ordered.select(F.explode("prefix").alias("token"), "template"), ordered
 
@@ -90,34 +96,59 @@ def find_notices(
 ) -> DataFrame:
     """Blocks that hold a template: ``_id``, ``_key``, ``line``, ``block``, ``template``, ``label``, ``containment``.
 
-    ``_key`` is a hash of the text: rows that repeat an id with another text stay apart.
+    ``line`` is that of the block's first word, ``block`` its words. ``_key`` is a hash of the text: rows that repeat an
+    id with another text stay apart.
     """
     table = templates_table(spark, templates, threshold)
     order = token_order(spark, docs, text_col, table)
     prefix, full = join_tables(table, order)
     listed = sorted({row.token for row in prefix.collect()})
-    starts = F.array(*map(F.lit, listed))
-    least = min(row.needed for row in table.select("needed").collect())
+    widest = max(row.span for row in table.select("span").collect())
     # Texts without any prefix word as a word of its own have no candidate block; one scan leaves them out.
-    lines = docs.where(F.regexp_like(F.col(text_col), F.lit(f"(?i)(?<!{LETTER})(?:{'|'.join(listed)})(?!{LETTER})"))).select(
+    cut = docs.where(F.regexp_like(F.col(text_col), F.lit(f"(?i)(?<!{LETTER})(?:{'|'.join(listed)})(?!{LETTER})"))).select(
         F.col(id_col).alias("_id"),
         row_key(F.col(text_col)).alias("_key"),
-        F.posexplode(F.split(text_col, "\n", -1)).alias("line", "block"),
+        F.transform(F.split(text_col, "\n", -1), words_of).alias("_cut"),
     )
-    blocks = lines.withColumn("words", F.array_distinct(words_of(F.col("block"))))
-    blocks = blocks.where((F.size("words") >= least) & F.arrays_overlap("words", starts))
-    known = F.array_intersect(F.array(*map(F.lit, order)), "words")
-    blocks = blocks.withColumn("known", known)
-    hits = blocks.withColumn("token", F.explode(F.array_intersect("words", starts)))
+    in_line = F.flatten(F.transform("_cut", lambda words, i: F.array_repeat(i, F.size(words))))
+    words = cut.select("_id", "_key", F.flatten("_cut").alias("_words"), in_line.alias("_lines"))
+    # The outer form, since Spark would cut the words once more to leave out rows without any.
+    hits = words.select("*", F.posexplode_outer("_words").alias("_at", "token")).where(F.col("token").isin(listed))
+    first = F.greatest(F.col("_at") - (widest - 1), F.lit(0))
+    near = lambda c: F.slice(c, first + 1, F.lit(2 * widest - 1))
+    hits = hits.select("_id", "_key", "token", (F.col("_at") - first).alias("_at"), *(near(c).alias(c) for c in ("_words", "_lines")))
     pairs = hits.join(F.broadcast(prefix), "token").join(F.broadcast(full), "template")
-    # A pair comes with each shared prefix word; the first in the order speaks for it.
-    pairs = pairs.where(F.array_intersect("prefix", "words")[0] == F.col("token"))
-    # Length filter, then positional filter: what the block holds from that word on must be enough.
-    pairs = pairs.where(F.size("words") >= F.col("needed"))
-    pairs = pairs.where(F.size("known") - F.array_position("known", F.col("token")) + 1 >= F.col("needed"))
-    shared = F.size(F.array_intersect("tokens", "words"))
-    return pairs.where(shared >= F.col("needed")).select(
-        "_id", "_key", "line", "block", "template", "label", (shared / F.size("tokens")).alias("containment")
+    # From here on ``_at`` is the word's place in the template's own surroundings, ``_from`` where those begin.
+    start = F.greatest(F.col("_at") - F.col("span") + 1, F.lit(0))
+    own = F.slice("_words", start + 1, F.col("_at") - start + F.col("span"))
+    pairs = pairs.withColumns({"_own": own, "_from": start, "_at": F.col("_at") - start})
+    # Length filter, then positional filter: what stands around that word of it and of the later ones must be enough.
+    # Blocks with an earlier word of the order are found around that word.
+    rest = F.slice("tokens", F.array_position("tokens", F.col("token")).cast("int"), F.size("tokens"))
+    pairs = pairs.where(F.size("_own") >= F.col("needed")).where(F.size(F.array_intersect(rest, "_own")) >= F.col("needed"))
+    starts = F.filter(F.sequence(F.lit(0), F.col("_at")), lambda i: F.array_contains("tokens", F.get("_own", i)))
+    blocks = F.transform(starts, lambda i: F.struct(i.alias("i"), F.slice("_own", i + 1, F.col("span")).alias("w")))
+    shared = F.transform(blocks, lambda b: F.struct(F.array_intersect("tokens", b["w"]).alias("has"), b["i"].alias("i"), b["w"].alias("w")))
+    enough = F.filter(shared, lambda b: F.size(b["has"]) >= F.col("needed"))
+    length = lambda b: F.array_max(F.transform(b["has"], lambda t: F.array_position(b["w"], t))).cast("int")
+    best = F.array_max(
+        F.transform(
+            enough,
+            lambda b: F.struct(F.size(b["has"]).alias("n"), (-length(b)).alias("less"), b["i"].alias("i"), b["has"][0].alias("leader")),
+        )
+    )
+    found = pairs.withColumn("_best", best).where(F.col("_best").isNotNull())
+    # A block comes with each of its prefix words; the first place of the first in the order speaks for it.
+    block = F.slice("_own", F.col("_best.i") + 1, -F.col("_best.less"))
+    leads = F.array_position(block, F.col("token")) == F.col("_at") - F.col("_best.i") + 1
+    return found.where((F.col("_best.leader") == F.col("token")) & leads).select(
+        "_id",
+        "_key",
+        F.get("_lines", F.col("_from") + F.col("_best.i")).alias("line"),
+        F.array_join(block, " ").alias("block"),
+        "template",
+        "label",
+        (F.col("_best.n") / F.size("tokens")).alias("containment"),
     )
 
 
