@@ -328,6 +328,36 @@ def test_license_notices_cross_lines_within_a_span(spark):
     assert len([r for r in found if r._id == 2000]) == 2
 
 
+def test_license_templates_against_their_neighbours(spark):
+    given = {
+        "Licensed under CC BY-NC 4.0": {"cc-by-nc"},
+        "Licensed under CC BY-SA 4.0": {"cc-by-sa"},
+        "under CC BY-NC 4.0": {"cc-by-nc"},
+        "Licensed under CC BY-SA 4.0, formerly licensed under CC BY-NC 4.0": {"cc-by-nc", "cc-by-sa"},
+        "Licensed under CC BY 4.0": set(),
+        "Licensed under CC BY-NC-SA 4.0": set(),
+        "Licensed under CC BY-ND 4.0": set(),
+        "This work is licensed under a Creative Commons Attribution 4.0 International License. NonCommercial use": {"cc-by"},
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": set(),
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": set(),
+        "Licensed under the Apache License, Version 2.0": {"apache"},
+        "Licensed under the Educational Community License, Version 2.0": set(),
+        "Released under the MIT License": {"mit"},
+        "Released under the BSD License": set(),
+        "This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0": set(),
+        "This work is licensed under the European Union Public License, version 3": set(),
+        "This work is licensed under the GNU Lesser General Public License, version 3": {"gpl"},
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation": set(),
+        "This program is free software. You can redistribute it and/or modify it under the terms of the Do What You Want To Public License, as published by a foundation": set(),
+    }
+    docs = spark.createDataFrame(list(enumerate(given)), "doc_id bigint, text string")
+    got = {t: set() for t in given}
+    for r in licenses.find_notices(spark, docs).collect():
+        got[list(given)[r._id]].add(r.label)
+    assert got == given
+    assert set(licenses.MARKS) <= {text for _, text in licenses.TEMPLATES}
+
+
 # --- 9 ---------------------------------------------------------------------------------
 
 

@@ -7,6 +7,11 @@ is exact: words are ordered by their frequency over all documents, rarest first;
 block with enough of its words holds one of the prefix; a block needs as many distinct words as the threshold asks for;
 and a shared word at some place of the order leaves room for only so many more. What passes is counted.
 
+Short templates differ from their neighbours by a word or two, which containment does not see. So a block is verified: it
+must hold the words that distinguish its template, and no word that makes it another license (``MARKS``). A notice without
+a template of its own, such as CC BY-NC-SA, gets no label. Sentences that licenses share word for word stay ambiguous: MPL
+1.1 has Apache's "you may not use this file", and NCSA begins like MIT.
+
 The templates are fixed, so the prefix table and the template table have a bound and are broadcast. Whole texts are cut
 into words, and only the surroundings of prefix words leave their row. DataFrame functions only.
 
@@ -50,18 +55,36 @@ TEMPLATES = [
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 ]
 
+_OTHER_CC = "nc noncommercial commercial sa sharealike alike nd noderivatives noderivs derivatives derivs"
+# By template, the words that a block must hold, and those that end a block.
+MARKS = {
+    "Licensed under the Apache License, Version 2.0": ("apache", ""),
+    "This work is licensed under a Creative Commons Attribution 4.0 International License": ("attribution", _OTHER_CC),
+    "Licensed under CC BY-NC 4.0": ("nc", "sa nd"),
+    "Licensed under CC BY-SA 4.0": ("sa", "nc nd"),
+    "This work is licensed under the GNU General Public License, version 3": ("general public", ""),
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation": ("general public", ""),
+    "Released under the MIT License": ("mit", ""),
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files": ("software associated files", ""),
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0": ("mozilla", ""),
+}
+
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(text), F.lit(f"({WORD})"), 1)
 
 
 def templates_table(spark: SparkSession, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
-    """``template``, ``label``, ``tokens`` (distinct), ``needed`` (how many of them a block must hold), ``span`` (its words)."""
+    """``template``, ``label``, ``tokens`` (distinct), ``needed`` (how many of them a block must hold), ``span`` (a block's
+    words at most), ``must`` and ``ends`` (the words of ``MARKS``)."""
     quote = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    rows = ", ".join(f"({i}, {quote(label)}, {quote(text)})" for i, (label, text) in enumerate(templates))
-    table = spark.sql(f"SELECT * FROM VALUES {rows} AS t(template, label, text)")
+    rows = ", ".join(
+        f"({i}, {', '.join(map(quote, (label, text, *MARKS.get(text, ('', '')))))})" for i, (label, text) in enumerate(templates)
+    )
+    table = spark.sql(f"SELECT * FROM VALUES {rows} AS t(template, label, text, must, ends)")
+    marks = [words_of(F.col(c)).alias(c) for c in ("must", "ends")]
     span = F.ceil(F.size(words_of(F.col("text"))) * F.lit(SPAN)).cast("int").alias("span")
-    tokens = table.select("template", "label", F.array_distinct(words_of(F.col("text"))).alias("tokens"), span)
+    tokens = table.select("template", "label", F.array_distinct(words_of(F.col("text"))).alias("tokens"), span, *marks)
     needed = F.greatest(F.lit(1), F.ceil(F.size("tokens") * F.lit(threshold) - 1e-9)).cast("int")
     return tokens.select("*", needed.alias("needed"))
 
@@ -81,7 +104,7 @@ def token_order(spark: SparkSession, docs: DataFrame, text_col: str, templates:
 def join_tables(templates: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
     """The prefix table (``token``, ``template``) and the templates with their tokens in the global order."""
     ordered = templates.select(
-        "template", "label", "needed", "span", F.array_intersect(F.array(*map(F.lit, order)), "tokens").alias("tokens")
+        "template", "label", "needed", "span", "must", "ends", F.array_intersect(F.array(*map(F.lit, order)), "tokens").alias("tokens")
     ).withColumn("prefix", F.slice("tokens", F.lit(1), F.size("tokens") - F.col("needed") + 1))
     return ordered.select(F.explode("prefix").alias("token"), "template"), ordered
 
@@ -126,10 +149,17 @@ def find_notices(
     # Blocks with an earlier word of the order are found around that word.
     rest = F.slice("tokens", F.array_position("tokens", F.col("token")).cast("int"), F.size("tokens"))
     pairs = pairs.where(F.size("_own") >= F.col("needed")).where(F.size(F.array_intersect(rest, "_own")) >= F.col("needed"))
+    pairs = pairs.where(F.size(F.array_except("must", "_own")) == 0)
     starts = F.filter(F.sequence(F.lit(0), F.col("_at")), lambda i: F.array_contains("tokens", F.get("_own", i)))
     blocks = F.transform(starts, lambda i: F.struct(i.alias("i"), F.slice("_own", i + 1, F.col("span")).alias("w")))
+    # A block goes on to the first word that ends it.
+    stops = lambda w: F.array_min(F.filter(F.transform("ends", lambda t: F.array_position(w, t)), lambda p: p > 0))
+    before = lambda w: F.slice(w, F.lit(1), F.coalesce(stops(w) - 1, F.size(w)).cast("int"))
+    blocks = F.transform(blocks, lambda b: F.struct(b["i"].alias("i"), before(b["w"]).alias("w")))
     shared = F.transform(blocks, lambda b: F.struct(F.array_intersect("tokens", b["w"]).alias("has"), b["i"].alias("i"), b["w"].alias("w")))
-    enough = F.filter(shared, lambda b: F.size(b["has"]) >= F.col("needed"))
+    enough = F.filter(
+        shared, lambda b: (F.size(b["has"]) >= F.col("needed")) & (F.size(F.array_except("must", b["has"])) == 0)
+    )
     length = lambda b: F.array_max(F.transform(b["has"], lambda t: F.array_position(b["w"], t))).cast("int")
     best = F.array_max(
         F.transform(
