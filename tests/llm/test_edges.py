@@ -11,7 +11,7 @@ import corpus_pipeline
 from tripflow.llm import bpe, decontaminate, language, licenses, lines, quality, simhash, toxicity, urls, warc
 from tripflow.llm.common import in_bucket
 from tripflow.llm.components import components
-from tripflow.llm.queries import BASE_RULES, RANKS, RULES
+from tripflow.llm.queries import BASE_RULES, ORACLE, QUERIES, RANKS, RULES
 
 # Extra columns carry the names the operators use inside.
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, _id string, _key string, block string, words string, fp string"
@@ -386,6 +386,27 @@ def test_url_rules_against_brute_force(spark):
     assert urls.filter_urls(pages.where("false"), urls.rules_table(spark, RULES)).count() == 0
 
 
+def test_url_words_beside_other_scripts_match_sql(spark, tmp_path):
+    import duckdb
+
+    blocked = ["在线casino", "casino在线", "在线CASINO在线", "éporn", "casinoİ", "\U0001f3b0poker", "x/ü.zip"]
+    free = ["在线casinos", "xcasino在线", "在线", "ü.zipé"]
+    rows = [(i, f"http://h.example/{p}/".replace("zip/", "zip")) for i, p in enumerate(blocked + free)]
+    rows += [(100, "http://在线casino.example/"), (101, "http://é.example.net/en/"), (102, "http://éexample.net/en/")]
+    spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = con.execute(ORACLE["op9_urls"]).fetchall()
+    assert sorted(map(tuple, QUERIES["op9_urls"](spark, str(tmp_path)).collect())) == sorted(want)
+    verdict = {r[0]: r[4] for r in want}
+    assert all(verdict[i] == "block" for i in range(len(blocked))) and verdict[100] == "block"
+    assert all(verdict[len(blocked) + i] == "allow" for i in range(len(free)))
+    # A rule whose host is not ASCII keeps its literals.
+    odd = urls.rules_table(spark, [urls.prefix_rule("例え.テスト", "/", "block")])
+    pages = spark.createDataFrame([(1, "http://www.例え.テスト/a"), (2, "http://例.テスト/a")], "page_id bigint, url string")
+    assert {(r.page_id, r._verdict) for r in urls.filter_urls(pages, odd).collect()} == {(1, "block"), (2, "allow")}
+
+
 # --- 10 --------------------------------------------------------------------------------
 
 

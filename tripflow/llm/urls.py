@@ -17,8 +17,11 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.llm.common import ascii_lower
+
 RULES_SCHEMA = "rule string, verdict string, rank int, pattern string, literals array<string>"
-TOKEN = "[a-z0-9\\x80-\\uffff]+"
+# ASCII words end at any other character, as in the rules' expressions; so do runs of non-ASCII characters.
+TOKEN = "[a-z0-9]+|[\\x{80}-\\x{10FFFF}]+"
 
 
 def host_of(url: Column) -> Column:
@@ -32,7 +35,7 @@ def path_of(url: Column) -> Column:
 def prefix_rule(host: str, path: str, verdict: str, rank: int = 1) -> tuple:
     """A rule for a host with its subdomains and the paths that start with ``path``."""
     quoted = re.sub(r"([^0-9A-Za-z])", r"\\\1", host + path)
-    return f"{host}{path}", verdict, rank, f"(?s)^(?:[^/]*\\.)?{quoted}", re.findall("[a-z0-9\x80-\uffff]+", host)
+    return f"{host}{path}", verdict, rank, f"(?s)^(?:[^/]*\\.)?{quoted}", re.findall("[a-z0-9]+|[\x80-\U0010ffff]+", host)
 
 
 def pattern_rule(name: str, verdict: str, pattern: str, literals: list[str], rank: int = 0) -> tuple:
@@ -40,7 +43,7 @@ def pattern_rule(name: str, verdict: str, pattern: str, literals: list[str], ran
 
 
 def tokens_of(where: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(where), F.lit(f"({TOKEN})"), 1))
+    return F.array_distinct(F.regexp_extract_all(ascii_lower(where), F.lit(f"({TOKEN})"), 1))
 
 
 def rarest_literals(tokens: DataFrame, rules: DataFrame) -> DataFrame:
