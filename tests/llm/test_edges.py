@@ -205,6 +205,29 @@ def test_language_edges(spark, docs, nothing):
     assert docs.select(in_bucket(F.col("doc_id"), 3, 1).alias("b")).where("b IS NULL").count() == 0
 
 
+def test_languages_with_only_long_texts_are_learned(spark):
+    rng = random.Random(7)
+    vocabulary = {x: ["".join(rng.choices(letters, k=6)) for _ in range(300)] for x, letters in (("a", "abcdefgh"), ("b", "ijklmnop"), ("c", "абвгдежз"))}
+    text = lambda lang, n: " ".join(rng.choices(vocabulary[lang], k=n))
+    # Language a has short texts, b one long text, c several, and both more than a dictionary each.
+    rows = [(i, text("a", 200), "a") for i in range(30)] + [(100, text("b", 20_000), "b")]
+    rows += [(200 + i, text("c", 15_000), "c") for i in range(3)]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.learn(given, F.lit(True))
+    assert set(model) == {"a", "b", "c"} and all(len(x) <= language.DICTIONARY_BYTES for x in model.values())
+    assert len(model["b"]) > language.DICTIONARY_BYTES // 2
+    # The pieces come from the whole of the text, in a script of two bytes a letter as well.
+    only = language.learn(given.where("doc_id IN (100, 200)"), F.lit(True))
+    for lang, row in (("b", rows[30]), ("c", rows[31])):
+        whole = language.reduced(row[1])
+        places = [whole.find(x[:100]) for x in only[lang].split(b"\n") if x]
+        assert min(places) < len(whole) // 20 and max(places) > len(whole) * 9 // 10
+    fresh = spark.createDataFrame([(x, text(x, 50)) for x in "abc"], "doc_id string, text string")
+    assert {(r._id, r.lang_pred) for r in language.identify(spark, fresh, model).collect()} == {(x, x) for x in "abc"}
+    # So they are with little room for each language.
+    assert set(language.learn(given, F.lit(True), total_bytes=3000)) == {"a", "b", "c"}
+
+
 # --- 5 ---------------------------------------------------------------------------------
 
 

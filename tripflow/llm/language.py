@@ -1,6 +1,8 @@
 """Language identification by compression: the language whose Zstandard dictionary makes a text smallest.
 
-A language's dictionary is raw content: whole texts of that language, up to ``dictionary_bytes``. Only a bounded
+A language's dictionary is raw content: whole texts of that language, up to ``dictionary_bytes``; where those fill less
+than half, also ``PIECES`` pieces, spread evenly over and within the longer texts of the sample, so that a language whose
+labelled texts are all long is learned too. Only a bounded
 sample of labelled rows is gathered for it (``sample_rows`` a language, the lowest hashes of their ids; all dictionaries
 together stay within ``total_bytes``, so that their broadcast is bounded however many languages there are). A text is
 compressed in pieces of ``PIECE`` bytes against each dictionary, so that the dictionary counts to its end, and the sizes
@@ -28,6 +30,7 @@ DICTIONARY_BYTES = 64 * 1024
 TOTAL_BYTES = 16 * 1024 * 1024
 LEVEL = 5
 PIECE = 4096
+PIECES = 64
 # Of the second-best size; below it a text is rejected.
 MIN_MARGIN = 0.001
 NO_LETTER = re.compile(r"[\W\d_]+")
@@ -61,15 +64,41 @@ def learn(
     texts: dict[str, list] = {}
     for lang, text, _ in sample.select(lang_col, text_col, order.alias("_o")).orderBy("_o").toLocalIterator():
         texts.setdefault(lang, []).append(reduced(text))
-    out = {}
+    out = dict.fromkeys(counts, b"")
+
+    def add(lang: str, text: bytes) -> None:
+        if len(out[lang]) + len(text) < room:
+            out[lang] += text + b"\n"
+
     for lang in counts:
-        content = b""
         for text in list(dict.fromkeys(texts.get(lang, [])))[:sample_rows]:
-            if len(content) + len(text) < room:
-                content += text + b"\n"
-        if content:
-            out[lang] = content
-    return out
+            add(lang, text)
+    bare = {lang for lang, content in out.items() if 2 * len(content) < room}
+    if bare:
+        few = F.create_map(*(F.lit(x) for lang in sorted(bare) for x in (lang, cut(counts[lang]))))
+        longer = rows.where((order < few[F.col(lang_col)]) & (2 * F.octet_length(text_col) > room))
+        size = max(2, room // PIECES)
+        for lang, pieces in _pieces(longer, text_col, lang_col, order, size):
+            for piece in pieces:
+                # Cut by bytes as well, so that in any script all pieces have room.
+                add(lang, reduced(piece)[: size - 1].decode(errors="ignore").encode())
+    return {lang: content for lang, content in out.items() if content}
+
+
+def _pieces(longer: DataFrame, text_col: str, lang_col: str, order: Column, size: int):
+    """Language and pieces of ``size`` characters of each text, about ``PIECES`` a language over all its texts."""
+    counts = dict(longer.groupBy(lang_col).count().collect())
+    if not counts:
+        return
+    share = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, -(-PIECES // n))))
+    n = share[F.col(lang_col)]
+    step = F.greatest(F.length(text_col) - size, F.lit(0)) / F.greatest(n - 1, F.lit(1))
+    # A single piece is taken from the middle.
+    at = lambda i: F.when(n == 1, step / 2).otherwise(step * i).cast("int") + 1
+    pieces = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(F.col(text_col), at(i), F.lit(size)))
+    taken = longer.select(lang_col, pieces.alias("_pieces"), order.alias("_o")).orderBy("_o")
+    for lang, found, _ in taken.toLocalIterator():
+        yield lang, found
 
 
 class Classifier:
