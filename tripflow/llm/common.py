@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import StructType
@@ -85,3 +85,29 @@ def arrow_schema(ddl: str) -> pa.Schema:
 def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def numbered(spark: SparkSession, df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """``df`` with ``_index`` (from 0, in ``order`` within ``group``) and ``_total`` (rows of the group), stored before.
+
+    Rows are dealt by ranges of group and order, and numbered by their place in a range plus what the group has in the
+    ranges before. A group of any size is so split over all tasks; rows alike in ``order`` are kept apart by the place
+    they were stored at, so they may be split as well. The running sum sees one row for each group of each range.
+    """
+    placed = stored(spark, df.withColumn("_at", F.monotonically_increasing_id()), name)
+    ranged = placed.repartitionByRange(group, *order, "_at").sortWithinPartitions(group, *order, "_at").drop("_at")
+    # The stored id tells range and place: Spark puts the partition's number into its upper bits.
+    rows = stored(spark, ranged.withColumn("_row", F.monotonically_increasing_id()), f"{name}_ranged")
+    part = F.shiftright("_row", 33)
+    runs = rows.groupBy(part.alias("_part"), group).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    whole = Window.partitionBy(group)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        "_part",
+        F.col(group).alias("_group_of"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_n").over(whole).alias("_total"),
+    )
+    same = (part == F.col("_part")) & F.col(group).eqNullSafe(F.col("_group_of"))
+    index = (F.col("_row") + F.col("_shift")).alias("_index")
+    return rows.join(runs, same).select(*(rows[f"`{c}`"] for c in df.columns), index, "_total")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, common, decontaminate, language, licenses, lines, quality, simhash, toxicity, urls, warc
+from tripflow.llm import bpe, common, decontaminate, language, licenses, lines, merkle, quality, simhash, toxicity, urls, warc
 from tripflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -267,3 +267,78 @@ def op10(spark, d):
         "posterior",
         "votes",
     )
+
+
+# --- 11 ----------------------------------------------------------------------------------
+
+# DuckDB: unsigned CRC-32 of a number's decimal digits, bit by bit.
+def _crc32(number: str) -> str:
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    bits = f"list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: {step})"
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: {bits}), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ['doc_id', 'source', 'lang', n_chars, 'text']))})"
+
+
+@_query(
+    "op11_merkle",
+    f"""
+WITH RECURSIVE
+leaves AS (SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
+    CASE WHEN {_crc32("doc_id")} % 7 = 0 THEN {_leaf_sql("CAST(n_chars AS HUGEINT) + 1")} END AS claim FROM documents),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+tree AS (SELECT lang, 0 AS level, idx, n, leaf AS h FROM ranked
+  UNION ALL SELECT lang, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx))
+    FROM tree WHERE n > 1 GROUP BY lang, level, idx // 2, n),
+subroots AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+  FROM tree WHERE n = 1),
+top AS (SELECT 0 AS level, idx, n, subroot AS h FROM subroots
+  UNION ALL SELECT level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY level, idx // 2, n),
+heights AS (SELECT lang, max(level) AS height FROM tree GROUP BY lang),
+steps AS (
+  SELECT r.doc_id, r.lang, r.leaf, t.level, (r.idx >> t.level) & 1 AS is_right, s.h AS sibling
+  FROM ranked r JOIN (SELECT DISTINCT lang, level FROM tree WHERE n > 1) t ON t.lang IS NOT DISTINCT FROM r.lang
+  LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM r.lang AND s.level = t.level AND s.idx = xor(r.idx >> t.level, 1)
+  UNION ALL
+  SELECT r.doc_id, r.lang, r.leaf, h.height + t.level, (g.idx >> t.level) & 1, s.h
+  FROM ranked r JOIN heights h ON h.lang IS NOT DISTINCT FROM r.lang JOIN subroots g ON g.lang IS NOT DISTINCT FROM r.lang
+  CROSS JOIN (SELECT DISTINCT level FROM top WHERE n > 1) t
+  LEFT JOIN top s ON s.level = t.level AND s.idx = xor(g.idx >> t.level, 1)),
+listed AS (SELECT doc_id, lang, leaf, sha256(coalesce(string_agg(sibling, '' ORDER BY level), '')) AS proof_sha256,
+  list({{'r': is_right, 's': sibling}} ORDER BY level) AS path FROM steps GROUP BY doc_id, lang, leaf),
+folding AS (SELECT r.doc_id, r.lang, r.leaf, coalesce(claim, r.leaf) AS h, 1 AS step, path, proof_sha256
+  FROM ranked r LEFT JOIN listed l ON r.doc_id IS NOT DISTINCT FROM l.doc_id AND r.lang IS NOT DISTINCT FROM l.lang AND r.leaf = l.leaf
+  UNION ALL SELECT doc_id, lang, leaf, sha256(CASE WHEN path[step].s IS NULL THEN h WHEN path[step].r = 1 THEN path[step].s || h
+    ELSE h || path[step].s END), step + 1, path, proof_sha256 FROM folding WHERE step <= coalesce(len(path), 0))
+SELECT f.doc_id, f.leaf, g.subroot, t.h AS root, coalesce(f.proof_sha256, sha256('')) AS proof_sha256, f.h AS folded_root,
+  f.h = t.h AS verified
+FROM folding f JOIN subroots g ON g.lang IS NOT DISTINCT FROM f.lang CROSS JOIN (SELECT h FROM top WHERE n = 1) t
+WHERE f.step > coalesce(len(f.path), 0)""",
+)
+def op11(spark, d):
+    docs = _table(spark, d, "documents")
+    hashed = lambda n_chars: merkle.leaf_digest(*map(F.col, ("doc_id", "source", "lang")), n_chars, F.col("text"))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claim = F.when(tampered, hashed(F.col("n_chars").cast("decimal(38,0)") + 1))
+    leaves = docs.select(
+        F.col("lang").alias("_group"), F.col("doc_id").alias("_id"), hashed(F.col("n_chars")).alias("_leaf"), claim.alias("_claim")
+    )
+    found = merkle.verify(merkle.proofs(spark, merkle.build(spark, leaves)))
+    shown = lambda c: F.lower(F.hex(c))
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        shown("_leaf").alias("leaf"),
+        shown("_subroot").alias("subroot"),
+        shown("_root").alias("root"),
+        shown("_siblings").alias("proof_sha256"),
+        shown("_folded").alias("folded_root"),
+        (F.col("_folded") == F.col("_root")).alias("verified"),
+    )
