@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, common, decontaminate, language, licenses, lines, merkle, quality, simhash, toxicity, urls, warc
+from tripflow.llm import bpe, common, decontaminate, language, licenses, lines, merkle, quality, simhash, token_counts, toxicity, urls, warc
 from tripflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -342,3 +342,22 @@ def op11(spark, d):
         shown("_folded").alias("folded_root"),
         (F.col("_folded") == F.col("_root")).alias("verified"),
     )
+
+
+# --- 12 ----------------------------------------------------------------------------------
+
+COUNTED = public_tokenizers.path("byte_bpe_50k.json")
+TOKEN_LIMIT = 512
+
+
+@_query("op12_token_counts")
+def op12(spark, d):
+    found = token_counts.count_prefixes(spark, _table(spark, d, "documents"), COUNTED)
+    counts = F.col("counts")
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        "n_bytes",
+        token_counts.n_tokens(counts).alias("n_tokens"),
+        (token_counts.n_tokens(counts) > TOKEN_LIMIT).alias("over_limit"),
+        token_counts.longest_prefix(counts, TOKEN_LIMIT).alias("chars_within_limit"),
+    )
