@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, common, decontaminate, language, licenses, lines, merkle, quality, simhash, token_counts, toxicity, urls, warc
+from tripflow.llm import bpe, common, decontaminate, language, licenses, lines, merkle, quality, simhash, token_counts, toxicity, trie, urls, warc
 from tripflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -361,3 +361,33 @@ def op12(spark, d):
         (token_counts.n_tokens(counts) > TOKEN_LIMIT).alias("over_limit"),
         token_counts.longest_prefix(counts, TOKEN_LIMIT).alias("chars_within_limit"),
     )
+
+
+# --- 13 ----------------------------------------------------------------------------------
+
+
+@_query(
+    "op13_prefix_trie",
+    f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({{'r': r, 't': t}} ORDER BY turn NULLS FIRST, md5(strlen(r) || ':' || r || t)) AS l FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, l, {_crc32("conv_id")} % 9 AS h FROM c),
+b AS (SELECT h.conv_id, list_concat(coalesce(o.l, [])[1 : h.h], h.l[h.h + 1 :]) AS l
+  FROM h LEFT JOIN c o ON o.conv_id = h.conv_id - h.conv_id % 5),
+p AS (SELECT conv_id, len(l) AS size, d, l[1 : d] AS prefix, CASE WHEN d > 0 THEN strlen(l[d].t) ELSE 0 END AS bytes
+  FROM (SELECT *, unnest(range(len(l) + 1)) AS d FROM b)),
+n AS (SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+  coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = d), '') AS ends FROM p GROUP BY prefix, d),
+k AS (SELECT a.*, m.conv_id AS parent_conv_id, (SELECT count(*) FROM n c WHERE c.d = a.d + 1 AND c.prefix[1 : a.d] = a.prefix) AS n_children
+  FROM n a LEFT JOIN n m ON m.d = a.d - 1 AND m.prefix = a.prefix[1 : a.d - 1]),
+up AS (SELECT k.*, unnest(range(d + 1)) AS u FROM k),
+s AS (SELECT prefix[1 : u] AS prefix, u AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes) AS saved
+  FROM up GROUP BY prefix[1 : u], u)
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  sha256(ends) AS ends_sha256
+FROM k JOIN s USING (prefix, d)""",
+)
+def op13(spark, d):
+    opening = F.crc32(F.col("conv_id").cast("string")) % 9
+    rebuilt = common.stored(spark, trie.rebuild(spark, _table(spark, d, "conversations"), opening), "rebuilt")
+    return trie.prefix_nodes(spark, trie.sequences(spark, rebuilt))
