@@ -475,7 +475,7 @@ def q_borough_prices_numeric(spark, d):
     return _borough_prices(spark, d, True)
 
 
-def _zone_counts_sql(late: str) -> str:
+def _zone_counts_sql(late: str, hired: str = "year(o_orderdate) = 1997", relabel: str = "replace(k, '1997', '1998')") -> str:
     return f"""
 WITH z AS (SELECT CAST(n_nationkey AS VARCHAR) AS zone_id, n_name AS zone_name FROM nation),
 o AS (
@@ -483,9 +483,9 @@ o AS (
     CAST(o_custkey % 31 AS VARCHAR) AS zone
   FROM orders WHERE o_totalprice <> 0 AND o_custkey % 300 <> 0),
 t AS (
-  SELECT replace(k, '1997', '1998') AS k, zone, 'FHV' AS taxi_type
+  SELECT {relabel} AS k, zone, 'FHV' AS taxi_type
   FROM (SELECT strftime(o_orderdate, '%Y-%m') AS k, CAST(o_custkey % 31 AS VARCHAR) AS zone FROM orders
-        WHERE o_orderstatus = 'P' AND year(o_orderdate) = 1997 AND o_orderpriority <> '5-LOW')
+        WHERE o_orderstatus = 'P' AND {hired} AND o_orderpriority <> '5-LOW')
   UNION ALL SELECT k, zone, 'Green' FROM o WHERE s = 'F' AND {late}
   UNION ALL SELECT k, zone, 'Yellow' FROM o WHERE s = 'O' AND {late}),
 m AS (SELECT k, zone_name, taxi_type, count(*) AS n FROM t JOIN z ON zone = zone_id GROUP BY 1, 2, 3)
@@ -523,9 +523,8 @@ def _zone_counts(spark: SparkSession, d: str, late_year: int = 2018, **options)
         with_zone = late.select(*base, F.col("zone_no").alias("pickup_location_id"))
         return {2016: with_coords, late_year: with_zone}
 
-    return jobs.monthly_zone_counts(
-        {2017: hired}, metered("F"), metered("O"), zones(spark, d), fhv_year="1997", relabel_fhv_to="1998", **options
-    )
+    options = {"fhv_year": "1997", "relabel_fhv_to": "1998"} | options
+    return jobs.monthly_zone_counts({2017: hired}, metered("F"), metered("O"), zones(spark, d), **options)
 
 
 @_query("monthly_zone_counts", _zone_counts_sql("y >= 1998"))
@@ -544,6 +543,11 @@ def q_monthly_zone_counts_legacy(spark, d):
     return _zone_counts(spark, d, late_year=2017, legacy=True)
 
 
+@_query("monthly_zone_counts_all_years", _zone_counts_sql("y >= 1998", hired="true", relabel="k"))
+def q_monthly_zone_counts_all_years(spark, d):
+    return _zone_counts(spark, d, fhv_year=None, relabel_fhv_to=None)
+
+
 @_query(
     "union_by_name",
     """
@@ -968,6 +972,15 @@ def q_warehouse_roundtrip(spark, d):
     return _read_once(spark, name)
 
 
+# A built-in source in a connector's place: it is named by format, takes the table as an option and writes no catalog.
+@_query("warehouse_connector", _DAILY_SQL)
+def q_warehouse_connector(spark, d):
+    path = scratch_path(spark, "daily")
+    daily = jobs.daily_counts(enrich_zone(trips(spark, d), zones(spark, d)))
+    write_warehouse(daily, "daily_business", fmt="orc", connector=True, path=path)
+    return read_warehouse(spark, "daily_business", fmt="orc", path=path)
+
+
 @_query(
     "preview",
     """
@@ -1161,6 +1174,25 @@ def q_price_regression_all(spark, d):
     return _rounded(models, *_METRICS)
 
 
+# The default draw depends on the partitions; SQL can state that its models are near those of all rows.
+@_query(
+    "price_regression_drawn",
+    """
+SELECT DISTINCT taxi_type, true AS share_within, true AS rmse_near
+FROM (SELECT CASE o_orderstatus WHEN 'F' THEN 'green' ELSE 'yellow' END AS taxi_type FROM orders WHERE o_orderstatus IN ('F', 'O'))""",
+)
+def q_price_regression_drawn(spark, d):
+    period = datetime(1992, 1, 1), datetime(1999, 12, 31)
+    drawn = jobs.price_regression(trips(spark, d), *period)
+    whole = jobs.price_regression(trips(spark, d), *period, fraction=None)
+    both = drawn.select("taxi_type", F.col("n").alias("few"), F.col("rmse").alias("near")).join(whole, "taxi_type")
+    return both.select(
+        "taxi_type",
+        (F.col("few") / F.col("n")).between(0.05, 0.15).alias("share_within"),
+        (F.col("near") / F.col("rmse")).between(0.8, 1.25).alias("rmse_near"),
+    )
+
+
 @_query(
     "warehouse_regression",
     f"WITH {_PINGS}, "

@@ -134,13 +134,18 @@ def test_monthly_zone_counts(spark, zones, rows):
         2018: metered(spark, ("2018-03-31 09:07:00", None, None, 2.5, 9.5, 56), ("2018-03-31 09:07:00", None, None, 0.0, 9.5, 56)).drop("pickup_longitude", "pickup_latitude"),
     }
     args = ({2017: fhv}, green, {2018: green[2018]}, zones)
-    found = {(r["taxi_type"], r["year_month_day"], r["zone_name"], r["count"]) for r in jobs.monthly_zone_counts(*args).collect()}
+    shown = {"fhv_year": "2017", "relabel_fhv_to": "2018"}
+    with pytest.raises(TypeError):  # which years of hired vehicles count is never left unsaid
+        jobs.monthly_zone_counts(*args)
+    with pytest.raises(ValueError, match="name it"):
+        jobs.monthly_zone_counts(*args, fhv_year=None, relabel_fhv_to="2018")
+    found = {(r["taxi_type"], r["year_month_day"], r["zone_name"], r["count"]) for r in jobs.monthly_zone_counts(*args, **shown).collect()}
     assert found == {("FHV", "2018-06", "Corona", 1), ("Green", "2017-03", "Corona", 1), ("Green", "2018-03", "Corona", 1), ("Yellow", "2018-03", "Corona", 1)}
-    legacy = {(r["taxi_type"], r["year_month_day"]) for r in jobs.monthly_zone_counts(*args, legacy=True).collect()}
+    legacy = {(r["taxi_type"], r["year_month_day"]) for r in jobs.monthly_zone_counts(*args, **shown, legacy=True).collect()}
     assert ("Green", "2017-03") not in legacy and ("Green", "2018-03") in legacy
-    true_years = {(r["taxi_type"], r["year_month_day"]) for r in jobs.monthly_zone_counts(*args, fhv_year=None).collect()}
+    true_years = {(r["taxi_type"], r["year_month_day"]) for r in jobs.monthly_zone_counts(*args, fhv_year=None, relabel_fhv_to=None).collect()}
     assert {("FHV", "2017-06"), ("FHV", "2016-06")} <= true_years
-    tree = plan(jobs.monthly_zone_counts(*args)).split("\n\n")[0]
+    tree = plan(jobs.monthly_zone_counts(*args, **shown)).split("\n\n")[0]
     assert tree.count("BroadcastHashJoin") == 1 and tree.count("HashAggregate") == 2
 
 
@@ -210,7 +215,7 @@ def test_typed_tests_reach_the_warehouse_scan(spark, zones, tmp_path):
     assert "GreaterThan(fare_amount" not in pushed(jobs.clean_metered({2018: trips}, "green"))
     prices = jobs.borough_prices(typed, typed, zones, numeric=True)
     assert "GreaterThan(fare_amount,0.0)" in pushed(prices) and prices.count() == 2
-    counts = jobs.monthly_zone_counts({2017: hired}, {2018: trips}, {2018: trips}, zones, numeric=True)
+    counts = jobs.monthly_zone_counts({2017: hired}, {2018: trips}, {2018: trips}, zones, fhv_year="2017", relabel_fhv_to=None, numeric=True)
     assert "GreaterThanOrEqual(pickup_datetime,2017-01-01" in pushed(counts)
     assert {r["taxi_type"] for r in counts.collect()} == {"FHV", "Green", "Yellow"}
 

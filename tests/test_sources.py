@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 from tests.plans import plan, settings
 from tripflow.operators.align import union_all
 from tripflow.session import scratch_path
-from tripflow.sources.readers import read_pairs_csv, read_table, read_trips_csv, read_warehouse, read_zones
+from tripflow.sources.readers import _files_by_header, read_pairs_csv, read_table, read_trips_csv, read_warehouse, read_zones
 from tripflow.sources.schemas import DAILY, MONTH_MAP
 from tripflow.sources.writers import preview, publish_table, write_pairs_csv, write_table, write_warehouse
 
@@ -49,6 +49,30 @@ def test_globs_lists_and_odd_names(spark, tmp_path, rows):
         read_trips_csv(spark, put(tmp_path / "empty", none=""))
 
 
+def test_header_look_up_reads_heads_only(spark, tmp_path):
+    """Large files: the look-up reads a bounded part of each, and leaves the session's settings alone."""
+    line = ",".join(["some value"] * 9) + "\n"
+    folder = put(tmp_path / "large", **{f"f{i}": "a,b,c\n"[:: 1 if i % 2 else -1].strip() + "\n" + line * 400_000 for i in range(4)})
+    size = sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder))
+    assert size > 150_000_000
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics
+    read = lambda: sum(x.getValue() for x in statistics().get("file").getLongStatistics() if x.getName() == "bytesRead")
+    began = read()
+    groups = _files_by_header(spark, [folder])
+    assert [[os.path.basename(f) for f in g] for g in groups] == [["f0.csv", "f2.csv"], ["f1.csv", "f3.csv"]]
+    assert read() - began < 2**20
+
+
+def test_header_look_up_of_odd_files(spark, tmp_path, rows):
+    given = {"one": "a,b\n1,2\n", "two": "\n  \n" * 2000 + "b,a\n4,3\n", "none": "\n\n", "empty": "", "é x%20": "a,b\n5,6\n"}
+    folder = put(tmp_path / "odd", **given)
+    want = [("1", "2"), ("3", "4"), ("5", "6")]
+    assert rows(read_trips_csv(spark, folder).select("a", "b")) == want
+    groups = [[os.path.basename(f) for f in g] for g in _files_by_header(spark, [folder])]
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "64"}):  # the header behind blank lines is in a later part
+        assert [[os.path.basename(f) for f in g] for g in _files_by_header(spark, [folder])] == groups
+
+
 def test_unused_csv_columns_are_not_parsed(spark, tmp_path, rows):
     folder = put(tmp_path / "d", one="a,b,c\n1,2,3\n", two="c,b,a\n4,5,6\n")
     df = read_trips_csv(spark, folder).select("a")

@@ -191,19 +191,23 @@ def monthly_zone_counts(
     green: Mapping[int, DataFrame],
     yellow: Mapping[int, DataFrame],
     zones: DataFrame,
-    fhv_year: str | None = "2017",
-    relabel_fhv_to: str | None = "2018",
+    *,
+    fhv_year: str | None,
+    relabel_fhv_to: str | None,
     legacy: bool = False,
     dedup_dim: bool = True,
     numeric: bool = False,
 ) -> DataFrame:
     """Trips per month, zone and taxi type over three warehouse families.
 
-    Hired-vehicle data end a year before the metered ones, so ``fhv_year`` alone is kept
-    and laid over ``relabel_fhv_to``; pass ``None`` for the two to count true years.
+    Hired-vehicle data end a year before the metered ones. Whether one year alone is kept
+    (``fhv_year``) and shown as another (``relabel_fhv_to``) is for the caller to say; ``None``
+    for the first keeps all years, for the second shows them as they are.
     """
+    if relabel_fhv_to is not None and fhv_year is None:
+        raise ValueError("relabel_fhv_to shows one year as another: name it as fhv_year")
     hired = clean_fhv(fhv, fhv_year)
-    if fhv_year and relabel_fhv_to:
+    if relabel_fhv_to is not None:
         hired = shift_year(hired, fhv_year, relabel_fhv_to)
     families = {
         "fhv": (hired, "location_id"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tripflow.operators.align import union_all
 
+# Files whose headers are looked up at a time.
+LOOK_UPS = 16
+
 
 def read_trips_csv(
     spark: SparkSession,
@@ -24,11 +28,10 @@ def read_trips_csv(
     Spark binds the columns of all files in one read by position. Files below one glob
     whose headers differ would therefore swap values silently, so they are grouped by
     header first, each group is read under its own schema with the header check on,
-    and the groups are put together by name. The look-up is one job over all files
-    and one more for each distinct header; file names and header lines reach the driver.
-    It reads the files as text once, so declare the header of large inputs: passing
-    ``schema`` skips the look-up, and all files must then carry exactly that header or
-    the scan fails.
+    and the groups are put together by name. The look-up is one small job for each file,
+    ``LOOK_UPS`` at a time, which ends at the header line; file names and header lines
+    reach the driver. Passing ``schema`` skips the look-up, and all files must then carry exactly
+    that header or the scan fails.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if schema is not None:
@@ -46,16 +49,23 @@ def read_trips_csv(
 
 
 def _files_by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """Files grouped by their first line that is not blank; a file without one has no rows."""
-    lines = spark.read.text(list(paths)).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        # Splits of one file come in the order of their start, rows of one split in the order they are read.
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias("at"),
-    )
-    first = lines.where(F.trim("value") != "").groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    grouped = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("files")
-    return [[_as_path(uri) for uri in row["files"]] for row in grouped.collect()]
+    """Files grouped by their first line that is not blank; a file without one has no rows.
+
+    The limit ends a file's scan at that line, so only heads are read, on the executors. One scan over all files could
+    not end early in each of them.
+    """
+    files = sorted(_as_path(uri) for uri in spark.read.text(list(paths)).inputFiles())
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(LOOK_UPS) as pool:
+        for file, header in zip(files, pool.map(lambda f: _first_line(spark, f), files)):
+            if header is not None:
+                groups.setdefault(header, []).append(file)
+    return sorted(groups.values())
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    found = spark.read.text(file).where(F.trim("value") != "").first()
+    return None if found is None else found["value"]
 
 
 def _as_path(uri: str) -> str:
