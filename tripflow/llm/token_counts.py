@@ -43,7 +43,7 @@ ENDINGS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 UNIT = regex.compile(rf"\s*(?:(?<! )(?:{'|'.join(ENDINGS)})|\p{{L}}+|\p{{N}}+|[^\s\p{{L}}\p{{N}}]+)|\s+")
 SPACE = regex.compile(r"\s*")
 CLASSES = [("a", regex.compile(r"\p{L}")), ("1", regex.compile(r"\p{N}")), ("!", regex.compile(r"[^\s\p{L}\p{N}]"))]
-KEPT_UNITS, KEPT_PAIRS, KEPT_LENGTH = 300_000, 1_000_000, 40
+KEPT_UNITS, KEPT_PAIRS, KEPT_LENGTH = 400_000, 1_000_000, 40
 BITS = 24
 START = (1 << BITS) - 1  # in a token's place, where a pre-token starts
 
@@ -78,6 +78,7 @@ class Counter:
         self.tokens.make_automaton()
         self.apart: dict[int, bool] = {}
         self.steps: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.same_class: set[str] = set()
         self.stand_in: dict[int, str] = {}
         self.blank = self.of_piece(" ")[-1]
@@ -139,10 +140,11 @@ class Counter:
         return array("i", map(sub, counts[1:], counts)).tobytes()
 
     def new_steps(self, unit: str) -> bytes:
-        found = self.unit_steps(unit, SPACE.match(unit).end())
+        """Steps of a unit that was not met lately; those met since the last change of generations stay."""
+        found = self.older.get(unit) or self.unit_steps(unit, SPACE.match(unit).end())
         if len(unit) <= KEPT_LENGTH:
             if len(self.steps) >= KEPT_UNITS:
-                self.steps.clear()
+                self.older, self.steps = self.steps, {}
             self.steps[unit] = found
         return found
 
@@ -155,8 +157,7 @@ class Counter:
             shown = text.translate(self.stand_in) if self.stand_in else text
             if shown != text:
                 return [self.unit_steps(text[slice(*m.span())], SPACE.match(m[0]).end()) for m in UNIT.finditer(shown)]
-        kept = self.steps.get
-        return [kept(unit) or self.new_steps(unit) for unit in UNIT.findall(text)]
+        return [self.steps.get(unit) or self.new_steps(unit) for unit in UNIT.findall(text)]
 
     def _learn_classes(self, text: str) -> None:
         """Characters that the library's Unicode version classes otherwise get a stand-in of the class it sees."""
