@@ -247,7 +247,7 @@ def test_line_edges(spark, docs, nothing):
 
 
 def test_bpe_edges(spark, docs, nothing):
-    for options in ({}, {"block_words": 20}):
+    for options in ({}, {"block_words": 20}, {"block_words": 20, "share_bytes": 100_000}):
         encoded = bpe.encode(spark, docs, RANKS, public_tokenizers.PATTERN, **options)
         decoded = bpe.decode(spark, encoded, RANKS, public_tokenizers.PATTERN).collect()
         assert sorted(bytes(r.decoded) for r in decoded) == sorted((t or "").encode() for _, t, *_ in ROWS)
@@ -258,6 +258,15 @@ def test_bpe_edges(spark, docs, nothing):
     assert {(r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows} == {(0, empty, empty)}
 
 
+def test_packed_words():
+    for words in ([], [""], ["a"], ["ä", "", "\0", "\U0001f600 x", "a" * 300, "\n\n"]):
+        assert bpe.unpack_words(bpe.pack_words(words)) == words
+    words = [f"w{i}" for i in range(50)]
+    places, packed = bpe._shares(words, 7)
+    assert [w for p in packed if p for w in bpe.unpack_words(p)] == [words[i] for i in places.tolist()]
+    assert sorted(places.tolist()) == list(range(50)) and bpe._shares([], 3)[1] == [None] * 3
+
+
 def test_packed_numbers(monkeypatch):
     numbers = [0, 1, 127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**28, 2**31]
     import numpy as np

@@ -1,11 +1,13 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
 Texts are cut into pre-tokens in blocks of about ``block_words``. A block keeps its distinct words once, and for each
-document the positions as numbers of those words (most frequent first, as base-128 digits). The words of all blocks are
-shuffled once and sorted, so that each distinct one is encoded once whatever its frequency; its ids go back to the
-blocks that use it, and a block puts the ids of its documents together by position. A word costs one row per block
-however often it occurs there, so no word is hot. Blocks are stored in buckets by their number: only words and ids move,
-never the positions. Decoding looks every id up in the token-byte table, which the vocabulary bounds.
+document the positions as numbers of those words (most frequent first, as base-128 digits). Words are dealt by hash to
+shares, and a block's words of a share travel together, sorted and compressed: so one row a block and share is
+shuffled, not one a word, and a word costs as much however often it occurs. A share encodes each distinct word once for
+all blocks; the ids go back in the words' order, which the block knows, and a block puts the ids of its documents
+together by position. Blocks are stored in buckets by their number: only words and ids move, never the positions. The
+number of shares and buckets follows the bytes of text. Decoding looks every id up in the token-byte table, which the
+vocabulary bounds.
 
 Defined results: a NULL text is an empty one (no ids, no bytes); repeated rows are encoded each; an empty table gives
 no rows. Text is UTF-8 and the ranks hold all 256 bytes, so every text can be encoded and decoding restores its bytes.
@@ -15,15 +17,17 @@ from __future__ import annotations
 
 import base64
 import uuid
+import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +35,8 @@ from tripflow.llm.common import arrow_type, rows_of, small_batches
 from tripflow.session import scratch_path
 
 BLOCK_WORDS = 3_500_000
-PART_WORDS = 200_000
+# Bytes of text for each share of the words and bucket of the blocks, and how many there are at most.
+SHARE_BYTES, MAX_SHARES = 16 << 20, 100_000
 PIECE = 1_000_000
 BATCH_TOKENS = 2_000_000
 
@@ -101,17 +106,45 @@ def unpack(packed: bytes) -> np.ndarray:
     return np.concatenate(parts[1:] or parts)
 
 
+# --- words of a share ---------------------------------------------------------------------
+
+
+def pack_words(words: list[str]) -> bytes:
+    """Words one after the other with their lengths, compressed."""
+    lengths, _ = pack(np.fromiter(map(len, words), np.int64, len(words)))
+    return zstandard.compress(len(lengths).to_bytes(4, "little") + lengths + "".join(words).encode(), 6)
+
+
+def unpack_words(packed: bytes) -> list[str]:
+    whole = zstandard.decompress(packed)
+    size = 4 + int.from_bytes(whole[:4], "little")
+    text = whole[size:].decode()
+    ends = np.cumsum(unpack(whole[4:size])).tolist()
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _shares(words: list[str], shares: int) -> tuple[np.ndarray, list[bytes | None]]:
+    """Places of the words in the order of (share, word), and each share's words packed; NULL if it has none."""
+    share = np.fromiter((zlib.crc32(w.encode()) % shares for w in words), np.int64, len(words))
+    by_word = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+    order = by_word[np.argsort(share[by_word], kind="stable")] if len(words) else by_word
+    ends = np.cumsum(np.bincount(share, minlength=shares)).tolist()
+    return order, [pack_words([words[i] for i in order[a:b].tolist()]) if b > a else None for a, b in zip([0, *ends], ends)]
+
+
 # --- encoding -----------------------------------------------------------------------------
 
 
-def _blocks(rows: Iterable[tuple], find, block_words: int) -> Iterator[tuple]:
+def _blocks(rows: Iterable[tuple], find, block_words: int, shares: int) -> Iterator[tuple]:
     def closed():
         flat = np.concatenate(words) if words else np.zeros(0, np.int32)
         order = np.argsort(-np.bincount(flat, minlength=len(number)), kind="stable")
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
         names = list(number)
-        return ids, np.cumsum([0, *map(len, words)]).astype(np.int64), pack(rank[flat])[0], [names[i] for i in order]
+        number.clear()
+        places, packed = _shares([names[i] for i in order], shares)
+        return ids, np.cumsum([0, *map(len, words)]).astype(np.int64), pack(rank[flat])[0], pack(places)[0], packed
 
     ids, words, size, number = [], [], 0, defaultdict(count().__next__)
     for doc, text in rows:
@@ -134,6 +167,7 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_words: int = BLOCK_WORDS,
+    share_bytes: int = SHARE_BYTES,
 ) -> DataFrame:
     """``_id`` and ``ids`` (array of token ids) of every row."""
     small_batches(spark)
@@ -141,39 +175,42 @@ def encode(
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = arrow_type(rows, "_id")
+    size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    shares = min(MAX_SHARES, size // share_bytes + 1)
 
     def cut(batches):
         find = regex.compile(shared.value.pattern).findall
-        for ids, bounds, codes, words in _blocks(rows_of(batches, "_id", "_text"), find, block_words):
+        for ids, bounds, codes, places, packed in _blocks(rows_of(batches, "_id", "_text"), find, block_words, shares):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([uuid.uuid4().int >> 65], pa.int64()),
                     pa.array([ids], pa.list_(id_type)),
                     pa.array([bounds.tobytes()], pa.binary()),
                     pa.array([codes], pa.binary()),
-                    pa.array([words], pa.list_(pa.string())),
+                    pa.array([places], pa.binary()),
+                    pa.array([packed], pa.list_(pa.binary())),
                 ],
-                names=["block", "doc_ids", "bounds", "codes", "words"],
+                names=["block", "doc_ids", "bounds", "codes", "places", "words"],
             )
 
-    schema = f"block bigint, doc_ids array<{kind}>, bounds binary, codes binary, words array<string>"
-    blocks = _in_buckets(spark, rows.mapInArrow(cut, schema))
+    schema = f"block bigint, doc_ids array<{kind}>, bounds binary, codes binary, places binary, words array<binary>"
+    blocks = _in_buckets(spark, rows.mapInArrow(cut, schema), shares)
 
     def encode_words(batches):
         vocabulary = shared.value
         encoding = tiktoken.Encoding(
             "ranks", pat_str=vocabulary.pattern, mergeable_ranks=vocabulary.ranks, special_tokens={}
         )
-        for blocks, numbers, sizes, ids in _encoded(batches, encoding._encode_single_piece):
-            yield _by_block(blocks, numbers, sizes, ids)
-
-    used = blocks.select("block", F.posexplode("words").alias("number", "word"))
-    parts = used.repartition(F.col("word")).sortWithinPartitions("word").mapInArrow(
-        encode_words, "block bigint, numbers binary, sizes binary, ids binary"
-    )
-    named = parts.groupBy("block").agg(F.collect_list(F.struct("numbers", "sizes", "ids")).alias("named"))
+        width = np.uint16 if len(vocabulary.ranks) <= 1 << 16 else np.uint32
+        yield from _encoded(batches, encoding._encode_single_piece, width)
+
+    used = blocks.select("block", F.posexplode("words").alias("share", "words")).where("words IS NOT NULL")
+    parts = used.repartitionByRange(shares, "share").sortWithinPartitions("share")
+    parts = parts.mapInArrow(encode_words, "block bigint, share int, sizes binary, ids binary, wide boolean")
+    named = parts.repartition(shares, "block").groupBy("block")
+    named = named.agg(F.collect_list(F.struct("share", "sizes", "ids", "wide")).alias("named"))
     # Blocks without any word keep their documents.
-    whole = blocks.select("block", "doc_ids", "bounds", "codes").join(named, "block", "left")
+    whole = blocks.select("block", "doc_ids", "bounds", "codes", "places").join(named, "block", "left")
 
     def assemble(batches):
         for doc_ids, bounds, codes, named in _whole_blocks(batches):
@@ -182,13 +219,12 @@ def encode(
     return whole.mapInArrow(assemble, f"_id {kind}, ids array<int>")
 
 
-def _in_buckets(spark: SparkSession, blocks: DataFrame) -> DataFrame:
+def _in_buckets(spark: SparkSession, blocks: DataFrame, buckets: int) -> DataFrame:
     """Blocks stored in the shared folder, bucketed by their number, so that joining on it does not move them.
 
     Buckets need a table; its name leaves the catalog at once, the files stay.
     """
     name = f"pre_tokens_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = blocks.write.option("compression", "zstd").option("path", scratch_path(spark, "pre-tokens"))
     writer.bucketBy(buckets, "block").saveAsTable(name)
     table = spark.table(name)
@@ -196,24 +232,27 @@ def _in_buckets(spark: SparkSession, blocks: DataFrame) -> DataFrame:
     return table
 
 
-def _encoded(batches: Iterable, piece) -> Iterator[tuple]:
-    """Ids of sorted words, each distinct word encoded once; in parts of about ``PART_WORDS`` rows."""
-    blocks, numbers, sizes, ids, last, found = [], [], [], [], None, []
-    rows = 0
+def _encoded(batches: Iterable, piece, width) -> Iterator[pa.RecordBatch]:
+    """Sizes and ids of each block's words of a share, in their order; each distinct word of a share is encoded once."""
+    share, known = None, {}
+
+    def new(word: str) -> list[int]:
+        known[word] = found = piece(word)
+        return found
+
     for batch in batches:
-        for word in batch.column("word").to_pylist():
-            if word != last:
-                last, found = word, piece(word)
-            sizes.append(len(found))
-            ids.extend(found)
-        blocks.append(batch.column("block").to_numpy())
-        numbers.append(batch.column("number").to_numpy())
-        rows += batch.num_rows
-        if rows >= PART_WORDS:
-            yield np.concatenate(blocks), np.concatenate(numbers), np.array(sizes, np.int64), np.array(ids, np.int64)
-            blocks, numbers, sizes, ids, rows = [], [], [], [], 0
-    if rows:
-        yield np.concatenate(blocks), np.concatenate(numbers), np.array(sizes, np.int64), np.array(ids, np.int64)
+        columns = []
+        for block, own, packed in zip(*(batch.column(c) for c in ("block", "share", "words"))):
+            if own.as_py() != share:
+                share, known = own.as_py(), {}
+            found = [known.get(word) or new(word) for word in unpack_words(packed.as_py())]
+            sizes, _ = pack(np.fromiter(map(len, found), np.int64, len(found)))
+            ids = np.fromiter(chain.from_iterable(found), width)
+            columns.append((block.as_py(), share, sizes, zstandard.compress(ids.tobytes()), width is np.uint32))
+        if columns:
+            names = ["block", "share", "sizes", "ids", "wide"]
+            types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*columns), types)], names=names)
 
 
 def _spread(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -222,35 +261,18 @@ def _spread(start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(start - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _by_block(blocks: np.ndarray, numbers: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    """A part's rows gathered by block: word numbers, how many ids each has, and the ids, all as base-128 digits."""
-    order = np.argsort(blocks, kind="stable")
-    start = (np.cumsum(sizes) - sizes)[order]
-    blocks, sizes = blocks[order], sizes[order]
-    cuts = np.append(np.flatnonzero(np.diff(blocks, prepend=blocks[0] - 1)), len(blocks))
-    upto = np.concatenate([[0], np.cumsum(sizes)])
-
-    def cut(values, edges):
-        packed, ends = pack(values)
-        edges = np.concatenate([[0], ends])[edges]
-        return pa.array([packed[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], pa.binary())
-
-    columns = [cut(numbers[order], cuts), cut(sizes, cuts), cut(ids[_spread(start, sizes)], upto[cuts])]
-    return pa.RecordBatch.from_arrays([pa.array(blocks[cuts[:-1]]), *columns], names=["block", "numbers", "sizes", "ids"])
-
-
 def _whole_blocks(batches: Iterable) -> Iterator[tuple]:
-    """Blocks with the ids of their words: where a word's ids start, how many there are, and all ids."""
+    """Blocks with the ids of their words: the words' numbers, how many ids each has, and all ids."""
     for batch in batches:
         for i in range(batch.num_rows):
-            parts = batch.column("named")[i].as_py() or []
-            none = np.zeros(0, np.int64)
-            numbers, sizes, flat = (
-                np.concatenate([none, *(unpack(part[name]) for part in parts)]) for name in ("numbers", "sizes", "ids")
-            )
+            parts = sorted(batch.column("named")[i].as_py() or [], key=lambda part: part["share"])
+            sizes = np.concatenate([np.zeros(0, np.int64), *(unpack(part["sizes"]) for part in parts)])
+            wide = [np.uint32 if part["wide"] else np.uint16 for part in parts]
+            flat = [np.frombuffer(zstandard.decompress(part["ids"]), w) for part, w in zip(parts, wide)]
+            flat = np.concatenate([np.zeros(0, np.int32), *flat]).astype(np.int32)
             bounds = np.frombuffer(batch.column("bounds")[i].as_py(), np.int64)
-            codes = batch.column("codes")[i].as_py()
-            yield batch.column("doc_ids")[i].values, bounds, codes, (numbers, sizes, flat.astype(np.int32))
+            codes, numbers = batch.column("codes")[i].as_py(), unpack(batch.column("places")[i].as_py())
+            yield batch.column("doc_ids")[i].values, bounds, codes, (numbers, sizes, flat)
 
 
 def _assembled(doc_ids: pa.Array, bounds: np.ndarray, codes: bytes, named: tuple, id_type) -> Iterator[pa.RecordBatch]:
