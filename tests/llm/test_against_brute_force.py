@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -121,7 +123,7 @@ def test_language(spark, data, tables):
     assert (got.held_out == [zlib.crc32(str(d).encode()) % 3 == 1 for d in got.index]).all()
     held = got[got.held_out]
     assert (held.lang_pred == docs.lang.loc[held.index]).mean() > 0.95
-    assert got.rejected.mean() < 0.02 and got.score.between(0, 1).all()
+    assert got.rejected.mean() < 0.03 and got.score.between(0, 1).all()
 
 
 def test_bpe(spark, data, tables):
@@ -147,10 +149,26 @@ def test_toxicity(spark, data, tables):
     assert (held.predicted == labels.loc[held.index]).mean() > 0.88
 
 
-def test_licenses(spark, data, tables):
-    got = result(spark, data, "op8_licenses").set_index("doc_id")
-    templates = [(label, set(words(text))) for label, text in licenses.TEMPLATES]
-    for doc, text in zip(tables["documents"].doc_id, tables["documents"].text):
+def notices(tokens):
+    """Labels and best containment by trying every window of words for every template."""
+    found, best = set(), 0.0
+    for label, text in licenses.TEMPLATES:
+        own = set(words(text))
+        must, ends = (set(x.split()) for x in licenses.MARKS.get(text, ("", "")))
+        width = math.ceil(len(words(text)) * licenses.SPAN)
+        for i in range(len(tokens)):
+            if tokens[i] in own:
+                window = tokens[i : i + width]
+                window = window[: next((k for k, w in enumerate(window) if w in ends), len(window))]
+                share = len(own & set(window)) / len(own)
+                if share >= licenses.THRESHOLD and must <= set(window):
+                    found.add(label)
+                    best = max(best, share)
+    return found, best
+
+
+def check_licenses(got, docs):
+    for doc, text in docs:
         tokens = words(text)
         places, base = [], set()
         for phrase, label in licenses.PHRASES.items():
@@ -158,22 +176,41 @@ def test_licenses(spark, data, tables):
             at = [i for i in range(len(tokens)) if tokens[i : i + len(parts)] == parts]
             places += at
             base |= {label} if at else set()
-        found, best = set(), 0.0
-        for block in (text or "").split("\n"):
-            own = set(words(block))
-            for label, template in templates:
-                share = len(own & template) / len(template)
-                if share >= 0.8:
-                    found.add(label)
-                    best = max(best, share)
+        found, best = notices(tokens)
         row = got.loc[doc]
         assert (row.n_words, row.n_base) == (len(tokens), len(places))
         assert (row.first_word, row.last_word) == (min(places), max(places)) if places else pd.isna(row.first_word)
         assert row.base_labels == ",".join(sorted(base)) and row.labels == ",".join(sorted(base | found))
         assert row.score == pytest.approx(1.0 if places else best)
+
+
+def test_licenses(spark, data, tables):
+    got = result(spark, data, "op8_licenses").set_index("doc_id")
+    check_licenses(got, zip(tables["documents"].doc_id, tables["documents"].text))
     assert (got.labels != got.base_labels).any()
 
 
+def test_licenses_of_texts_made_of_notices(spark, tmp_path):
+    """Whole, cut, shuffled and mixed notices, far more than the given tables hold."""
+    rng, texts = random.Random(8), []
+    parts = [t for _, t in licenses.TEMPLATES]
+    stray = "nc sa nd noncommercial public mozilla the of license and or".split()
+    for _ in range(400):
+        text = []
+        for _ in range(rng.randrange(1, 5)):
+            own = rng.choice(parts).split()
+            for _ in range(rng.randrange(0, 4)):
+                k = rng.randrange(len(own))
+                own[k : k + rng.randrange(0, 2)] = rng.choice(([], [rng.choice(stray)], ["foo", "\n# "]))
+            text += own[rng.choice((0, 0, 1, 3)) :] + ["x"] * rng.choice((0, 1, 9))
+        texts.append(" ".join(text))
+    frame = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    frame.to_parquet(f"{tmp_path}/documents.parquet")
+    got = result(spark, str(tmp_path), "op8_licenses").set_index("doc_id")
+    check_licenses(got, enumerate(texts))
+    assert got.labels.nunique() > 30
+
+
 def measured(text):
     tokens = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = Counter(tuple(tokens[i : i + 3]) for i in range(len(tokens) - 2))
@@ -205,8 +242,7 @@ def test_pipeline(spark, data, tables):
     model = language.Classifier(
         language.learn(spark.read.parquet(f"{data}/documents.parquet"), queries.learnable_language())
     )
-    found = [model.classify(t) for t in docs.text]
-    docs = docs[[x != "und" and s >= language.MIN_MARGIN for x, s in found]]
+    docs = docs[[not model.classify(t)[2] for t in docs.text]]
     pages, on = Counter(docs.source), Counter()
     bare = lambda x: x.strip(" \t\r\x0b\x0c")
     for source, text in zip(docs.source, docs.text):

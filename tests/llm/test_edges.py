@@ -11,7 +11,7 @@ import corpus_pipeline
 from tripflow.llm import bpe, decontaminate, language, licenses, lines, quality, simhash, toxicity, urls, warc
 from tripflow.llm.common import in_bucket
 from tripflow.llm.components import components
-from tripflow.llm.queries import BASE_RULES, ORACLE, QUERIES, RANKS, RULES
+from tripflow.llm.queries import BASE_RULES, ORACLE, QUERIES, RANKS, RULES, learnable_language
 
 # Extra columns carry the names the operators use inside.
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, _id string, _key string, block string, words string, fp string"
@@ -191,14 +191,16 @@ def test_components_of_a_long_chain_and_a_hub(spark):
 
 
 def test_language_edges(spark, docs, nothing):
-    assert language.learn(nothing, F.lit(True)) == {}
+    assert language.learn(nothing, F.lit(True)).dictionaries == {}
     model = language.learn(docs, F.lit(True))
-    assert set(model) == {"en", "de"}
+    assert set(model.dictionaries) == {"en", "de"}
     got = {(r._id, r.lang_pred) for r in language.identify(spark, docs, model).collect()}
     assert {(2, "und"), (3, "und"), (5, "und"), (6, "und"), (None, "de"), (1, "en")} <= got
-    assert {r.lang_pred for r in language.identify(spark, docs, {}).collect()} == {"und"}
-    tie = language.Classifier({"b": b"abc abc", "a": b"abc abc"})
-    assert tie.classify("abc abc") == ("a", 0.0)
+    assert {r.lang_pred for r in language.identify(spark, docs, language.Model()).collect()} == {"und"}
+    tie = language.Classifier(language.Model({"b": b"abc abc", "a": b"abc abc"}))
+    assert tie.classify("abc abc") == ("a", 0.0, True)
+    alone = language.Classifier(language.Model({"a": b"some words of a language"}))
+    assert alone.classify("some words of a language") == ("a", 1.0, False) and alone.classify("qxzvj kqjx")[2]
     kept = language.keep_identified(spark, docs, model)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} <= {1, 4, None}
     assert language.keep_identified(spark, nothing, model).count() == 0
@@ -214,18 +216,69 @@ def test_languages_with_only_long_texts_are_learned(spark):
     rows += [(200 + i, text("c", 15_000), "c") for i in range(3)]
     given = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     model = language.learn(given, F.lit(True))
-    assert set(model) == {"a", "b", "c"} and all(len(x) <= language.DICTIONARY_BYTES for x in model.values())
-    assert len(model["b"]) > language.DICTIONARY_BYTES // 2
+    assert set(model.dictionaries) == {"a", "b", "c"} and all(len(x) <= language.DICTIONARY_BYTES for x in model.dictionaries.values())
+    assert len(model.dictionaries["b"]) > language.DICTIONARY_BYTES // 2
     # The pieces come from the whole of the text, in a script of two bytes a letter as well.
     only = language.learn(given.where("doc_id IN (100, 200)"), F.lit(True))
     for lang, row in (("b", rows[30]), ("c", rows[31])):
         whole = language.reduced(row[1])
-        places = [whole.find(x[:100]) for x in only[lang].split(b"\n") if x]
+        places = [whole.find(x[:100]) for x in only.dictionaries[lang].split(b"\n") if x]
         assert min(places) < len(whole) // 20 and max(places) > len(whole) * 9 // 10
     fresh = spark.createDataFrame([(x, text(x, 50)) for x in "abc"], "doc_id string, text string")
     assert {(r._id, r.lang_pred) for r in language.identify(spark, fresh, model).collect()} == {(x, x) for x in "abc"}
     # So they are with little room for each language.
-    assert set(language.learn(given, F.lit(True), total_bytes=3000)) == {"a", "b", "c"}
+    assert set(language.learn(given, F.lit(True), total_bytes=3000).dictionaries) == {"a", "b", "c"}
+
+
+@pytest.fixture(scope="module")
+def spoken(spark):
+    """A model of the given documents, and words of documents it has not learned from, by language."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.learn(docs, learnable_language())
+    held = docs.where(in_bucket(F.col("doc_id"), 3, 1) & F.col("lang").isNotNull()).select("lang", "text").collect()
+    texts = [(r.lang, language.reduced(r.text).decode().split()) for r in held if r.text]
+    return model, [x for x in texts if len(x[1]) > 60]
+
+
+@pytest.mark.parametrize("words, least_right, most_rejected", [(3, 0.9, 0.3), (5, 0.97, 0.03), (8, 0.98, 0.02), (40, 0.99, 0.02), (400, 0.99, 0.02)])
+def test_languages_by_length(spoken, words, least_right, most_rejected):
+    model, texts = spoken
+    classifier, rng = language.Classifier(model), random.Random(words)
+    found = [(lang, classifier.classify(" ".join(own[:words]))) for lang, own in texts if len(own) >= words]
+    assert sum(lang == x[0] for lang, x in found) >= least_right * len(found) > 0
+    assert sum(x[2] for _, x in found) <= most_rejected * len(found)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randrange(2, 9)))
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "етаоинсрвлкмдпуяыьгзбчйхжшюцщэф", "αβγδεζηθικλμνξοπρστυφχψω"):
+        noise = [classifier.classify(" ".join(word(letters) for _ in range(words)))[2] for _ in range(200)]
+        assert sum(noise) >= 0.95 * len(noise)
+    # A text in two languages to equal parts has no clear one: its margin is less than half of a plain text's.
+    if words >= 40:
+        halves = {lang: own for lang, own in texts if len(own) >= words}
+        (a, x), (b, y) = sorted(halves.items())[:2]
+        mixed = classifier.classify(" ".join(w for pair in zip(x[:words], y[:words]) for w in pair))
+        assert mixed[1] < min(classifier.classify(" ".join(own[:words]))[1] for own in (x, y))
+
+
+def test_sizes_are_those_of_single_compressions(spoken):
+    import zstandard
+
+    model, texts = spoken
+    classifier = language.Classifier(model)
+    for _, own in texts[:5]:
+        for text in (" ".join(own[:3]).encode(), " ".join(own[:40]).encode(), (" ".join(own) * 3).encode()):
+            if len(text) > language.SHORT_BYTES:
+                level, parts = language.LEVEL, [text[i : i + language.PIECE] for i in range(0, len(text), language.PIECE)]
+            elif len(text.split()) > language.FEW_WORDS:
+                level, parts = language.SHORT_LEVEL, [text]
+            else:
+                w = text.split()
+                level, parts = language.SHORT_LEVEL, [b" ".join(w[i:]) for i in range(len(w))] + [b" ".join(w[:i]) for i in range(1, len(w))]
+            for lang, size in zip([*sorted(model.dictionaries), None], classifier.sizes(text)):
+                options = {"write_content_size": False, "write_dict_id": False}
+                if lang:
+                    options["dict_data"] = zstandard.ZstdCompressionDict(model.dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                    options["dict_data"].precompute_compress(level=level)
+                assert size == sum(len(zstandard.ZstdCompressor(level=level, **options).compress(language.PAD + p)) for p in parts)
 
 
 # --- 5 ---------------------------------------------------------------------------------
@@ -243,6 +296,24 @@ def test_line_edges(spark, docs, nothing):
     assert sorted(str(r.text) for r in unchanged.collect()) == sorted(str(r.text) for r in docs.collect())
 
 
+def test_line_time_is_linear_in_a_page_and_its_boilerplate(spark):
+    import time
+
+    def seconds(n):
+        page = lambda k: "\n".join(f"line {i}" if i % 2 else f"own {k} {i}" for i in range(n))
+        given = spark.createDataFrame([(k, page(k), "h") for k in range(4)], "doc_id bigint, text string, source string")
+        given = given.repartition(1).persist()
+        given.count()
+        began = time.perf_counter()
+        got = lines.without_boilerplate(spark, given).select("n_lines", "n_dropped").collect()
+        assert {tuple(r) for r in got} == {(n, n // 2)}
+        return time.perf_counter() - began
+
+    seconds(1000)
+    few, many = seconds(20_000), seconds(200_000)
+    assert many < 30 and many < 25 * max(few, 0.5)
+
+
 # --- 6 ---------------------------------------------------------------------------------
 
 

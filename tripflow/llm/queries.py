@@ -156,14 +156,8 @@ k AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (o.line IS NOT NULL) A
 SELECT doc_id, source, n_lines, n_dropped, k.text AS text FROM documents JOIN k USING (doc_id)""",
 )
 def op5(spark, d):
-    marked = lines.with_marks(spark, _table(spark, d, "documents"))
-    return marked.select(
-        "doc_id",
-        "source",
-        F.col("_n_lines").cast("bigint").alias("n_lines"),
-        (F.col("_n_lines") - F.size("_kept_lines")).cast("bigint").alias("n_dropped"),
-        F.array_join("_kept_lines", "\n").alias("text"),
-    )
+    found = lines.without_boilerplate(spark, _table(spark, d, "documents"))
+    return found.select("doc.doc_id", "doc.source", "n_lines", "n_dropped", "text")
 
 
 # --- 6 -----------------------------------------------------------------------------------
