@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import arrow_type, rows_of, small_batches
 from tripflow.session import scratch_path
 
-BLOCK_WORDS = 3_500_000
+BLOCK_WORDS = 2_500_000
 # Bytes of text for each share of the words and bucket of the blocks, and how many there are at most.
 SHARE_BYTES, MAX_SHARES = 16 << 20, 100_000
 PIECE = 1_000_000
