@@ -17,7 +17,7 @@ import tiktoken
 import xxhash
 
 import corpus_pipeline
-from tripflow.llm import language, licenses, lines, quality, queries
+from tripflow.llm import language, licenses, lines, quality, queries, toxicity
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -149,6 +149,86 @@ def test_toxicity(spark, data, tables):
     assert (held.predicted == labels.loc[held.index]).mean() > 0.88
 
 
+def toxic_by_hand(docs, toxic):
+    """Model and scores by the formulas of the method, without Spark; ``toxic`` has the label of learnable documents."""
+    texts = [(toxic[d], words(t)) for d, t in docs if d in toxic]
+    n = {label: sum(x == label for x, _ in texts) for label in (0, 1)}
+    held = {label: Counter(w for x, own in texts if x == label for w in set(own)) for label in (0, 1)}
+    total = {label: sum(held[label].values()) for label in (0, 1)}
+    every = len(texts)
+    scores = {}
+    for word in held[0].keys() | held[1].keys():
+        prior = toxicity.PRIOR * (held[0][word] + held[1][word]) / every
+        odds, spread = [], 0
+        for label in (1, 0):
+            have = held[label][word] + prior * n[label] / every
+            all_words = total[label] + toxicity.PRIOR * (total[0] + total[1]) / every * n[label] / every
+            odds.append(have / (all_words - have))
+            spread += 1 / have
+        if abs(math.log(odds[0] / odds[1])) >= toxicity.MIN_Z * math.sqrt(spread):
+            scores[word] = math.log(odds[0] / odds[1])
+    tokens, clean = Counter(), Counter()
+    for label, own in texts:
+        tokens.update(own)
+        clean.update(own if not label else [])
+    prior = toxicity.PRIOR * sum(tokens.values()) / every
+    shares = {w: (clean[w] + prior * tokens[w] / sum(tokens.values())) / (sum(clean.values()) + prior) for w in scores}
+    drift = toxicity.DRIFT + max(0, sum(shares[w] * s for w, s in scores.items()))
+    rest = 1 - sum(shares.values())
+    value = lambda x: sum(p * np.exp(x * (scores[w] - drift)) for w, p in shares.items()) + rest * np.exp(-x * drift) - 1
+    low, high = 1e-6, 50.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if value(mid) < 0 else (low, mid)
+
+    def best_segments(values, lo, hi):
+        """The best segment and, on either side of it, the others."""
+        sums = np.concatenate([[0.0], np.cumsum(values[lo:hi])])
+        low_at, best = 0, (0.0, 0, 0)
+        for j in range(1, len(sums)):
+            if sums[j] - sums[low_at] > best[0] + 1e-12:
+                best = (sums[j] - sums[low_at], low_at, j)
+            if sums[j] <= sums[low_at]:
+                low_at = j
+        if best[0] <= 0:
+            return []
+        a, b = lo + best[1], lo + best[2]
+        return best_segments(values, lo, a) + [best[0]] + best_segments(values, b, hi)
+
+    found = {d: (len(words(t)), best_segments([scores.get(w, 0) - drift for w in words(t)], 0, len(words(t)))) for d, t in docs}
+    seen, exposure = 0, 0.0
+    for d, label in toxic.items():
+        if not label and found[d][0]:
+            seen += bool(found[d][1])
+            exposure += found[d][0] * math.exp(-high * max(found[d][1], default=0))
+    k = max(1, seen) / exposure
+    statistic = {}
+    for d, (size, segments) in found.items():
+        e = [k * size * math.exp(-high * s) for s in segments]
+        statistic[d] = math.log1p(sum(-math.log(max(x, 1e-300)) for x in e if x < toxicity.MAX_E))
+    # The logistic curve with the same weak pull, by plain gradient steps on its two weights.
+    x, y = np.array([statistic[d] for d in toxic]), np.array(list(toxic.values()), float)
+    loss = lambda w: float(np.logaddexp(0, w[0] + w[1] * x).sum() - (y * (w[0] + w[1] * x)).sum() + 0.005 * (w**2).sum())
+    w, step = np.zeros(2), 1.0
+    while step > 1e-9:
+        moves = [w + step * np.array(m) for m in ((1, 0), (-1, 0), (0, 1), (0, -1), (1, -0.5), (-1, 0.5))]
+        nearer = min(moves, key=loss)
+        w, step = (nearer, step * 1.1) if loss(nearer) < loss(w) - 1e-13 else (w, step / 2)
+    return scores, high, {d: 1 / (1 + math.exp(-(w[0] + w[1] * s))) for d, s in statistic.items()}
+
+
+def test_toxicity_against_its_formulas(spark):
+    data = "/root/testdata/sf0.01"  # the smallest tables with labels enough for any word to score
+    docs, labels = (pd.read_parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    learnable = {d: int(t) for d, t in zip(labels.doc_id, labels.toxic) if zlib.crc32(str(d).encode()) % 5 and t == t}
+    by_doc = list(zip(docs.doc_id, docs.text))
+    learnable = {d: learnable[d] for d, _ in by_doc if d in learnable}
+    scores, rate, want = toxic_by_hand(by_doc, learnable)
+    got = result(spark, data, "op7_toxicity").set_index("doc_id").score
+    assert scores and 0 < rate < 50
+    assert [got[d] for d in want] == pytest.approx(list(want.values()), abs=2e-3)
+
+
 def notices(tokens):
     """Labels and best containment by trying every window of words for every template."""
     found, best = set(), 0.0

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns: each has its defined result."""
 
 import hashlib
+import math
 import random
 
 import public_tokenizers
@@ -369,6 +370,38 @@ def test_segments_against_brute_force():
         assert sum(s for *_, s in got) == pytest.approx(sum(s for *_, s in best(0, len(scores))))
         assert max((s for *_, s in got), default=0) == pytest.approx(max((s for *_, s in best(0, len(scores))), default=0))
         assert all(a < b for a, b, _ in got) and all(x[1] <= y[0] for x, y in zip(got, got[1:]))
+        # Without ties the segments themselves are determined.
+        scores[:] = [rng.gauss(-0.3, 1) for _ in scores]
+        got = [(a, b, pytest.approx(s)) for a, b, s in toxicity.maximal_segments(scores)]
+        assert got == best(0, len(scores))
+
+
+def test_tail_rate_solves_its_equation():
+    assert toxicity.tail_rate([], [], 0.05) == toxicity.tail_rate([-1.0], [0.2], 0.05) == 1.0
+    for scores, shares in (([2.0, -1.0], [0.1, 0.5]), ([8.0, 5.0], [1e-9, 1e-12]), ([0.2], [0.1]), ([700.0], [1e-300])):
+        x = toxicity.tail_rate(scores, shares, 0.05)
+        assert sum(p * math.exp(x * (s - 0.05)) for s, p in zip(scores, shares)) + (1 - sum(shares)) * math.exp(-0.05 * x) == pytest.approx(1, abs=1e-6)
+
+
+@pytest.mark.parametrize("shares", [{"a": 0.08, "b": 0.02, "c": 0.3}, {"a": 0.01, "b": 0.001, "c": 0.05}])
+def test_p_values_of_simulated_clean_texts(spark, shares):
+    """The fitted tail against texts whose words are drawn independently: p-values are as rare as they say."""
+    rng, scores = random.Random(6), {"a": 1.5, "b": 3.0, "c": -1.0}
+    kinds, odds = [*shares, "x"], [*shares.values(), 1 - sum(shares.values())]
+    text = lambda: " ".join(rng.choices(kinds, odds, k=rng.randrange(50, 800)))
+    rows = spark.createDataFrame([(0, text().encode()) for _ in range(2500)], "_toxic int, _text binary")
+    model = toxicity.Model(scores={k.encode(): v for k, v in scores.items()})
+    model.drift = toxicity.DRIFT + max(0.0, sum(shares[k] * v for k, v in scores.items()))
+    model.rate = toxicity.tail_rate([scores[k] for k in shares], list(shares.values()), model.drift)
+    toxicity.calibrate(spark, rows, model)
+    values = []
+    for _ in range(2500):
+        words = text().encode().split()
+        best = max((s for *_, s in model.segments(words)), default=0.0)
+        values.append(-math.expm1(-model.expectation(best, len(words))))
+    for level in (0.1, 0.05, 0.02):
+        found = sum(v <= level for v in values) / len(values)
+        assert level / 4 <= found <= 2 * level, (level, found)
 
 
 def test_toxicity_edges(spark, docs, nothing):

@@ -3,14 +3,18 @@
 Learning: in a bounded sample of labelled documents (``sample_rows``, by hash of the id), count the documents of either
 label that contain a word, and take its log-odds with an informative Dirichlet prior (the words' overall shares, worth
 ``PRIOR`` documents). Words whose log-odds are within ``MIN_Z`` of their deviation count as 0. Every token costs
-``DRIFT``, so that the expected score is negative.
+a drift (``DRIFT``, and more where the mean score of a clean token is above 0), so that the expected score is negative.
 
 Scoring: a linear-time scan finds all maximal segments of a text. A segment's score S has the extreme-value tail
-P(max >= S) = 1 - exp(-K n exp(-lambda S)) in a clean text of n tokens; lambda solves sum p(s) exp(lambda s) = 1 over the
-clean tokens, and K is fitted to the clean sample. Segments with an expectation below ``MAX_E`` are significant passages;
-a document's statistic adds their surprise, and a logistic curve fitted to the sample's labels turns it into a score.
-
-Whole texts are scanned whatever their length. Defined results: a NULL or empty text has no segment and the score of a
+P(max >= S) = 1 - exp(-K n exp(-lambda S)) in a clean text of n tokens. Lambda is the positive root of
+sum p(s) exp(lambda s) = 1, where p are the shares of clean tokens under the same prior (a word that no clean text of the
+sample holds is rare there, not impossible). K is the maximum-likelihood rate of n exp(-lambda M) over the clean texts'
+best scores M, of which those without a segment say only that they lie above n. Segments with an expectation below
+``MAX_E`` are significant passages; a document's statistic adds their surprise, and a logistic curve fitted to the
+sample's labels turns it into a score.
+
+Counting, log-odds and their test run in the plan; the driver receives the words that carry a score and three numbers for
+each sampled text, whatever the texts' lengths. Whole texts are scanned. Defined results: a NULL or empty text has no segment and the score of a
 text without any; repeated label rows count once, as toxic if one says so; without labels of both kinds nothing scores
 above 0; repeated document rows are scored each.
 """
@@ -26,21 +30,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import WORD_BYTES, arrow_schema, arrow_type, batch_of, rows_of, small_batches
+from tripflow.llm.common import WORD_BYTES, arrow_schema, arrow_type, batch_of, rows_of, small_batches, stored
 
 SAMPLE_ROWS = 20_000
 PRIOR = 500.0
 MIN_Z = 3.0
 DRIFT = 0.05
 MAX_E = 0.1
-COUNTS = "word binary, toxic bigint, clean bigint"
-TOKENS = "score double, n bigint"
-TEXTS = "toxic int, n bigint, scores array<double>"
+COUNTS = "word binary, toxic bigint, clean bigint, clean_tokens bigint, tokens bigint"
+BEST = "toxic int, n bigint, best double"
+STATISTIC = "toxic int, statistic double"
 
 
 @dataclass
 class Model:
     scores: dict[bytes, float] = field(default_factory=dict)
+    drift: float = DRIFT
     rate: float = 1.0  # lambda
     k: float = 0.1
     intercept: float = -50.0
@@ -48,8 +53,8 @@ class Model:
 
     def segments(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """All maximal scoring segments, as (first, last + 1, score), left to right."""
-        get = self.scores.get
-        return maximal_segments([get(w, 0.0) - DRIFT for w in words])
+        get, drift = self.scores.get, self.drift
+        return maximal_segments([get(w, 0.0) - drift for w in words])
 
     def expectation(self, score: float, n: int) -> float:
         return self.k * n * math.exp(-self.rate * score)
@@ -89,42 +94,52 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(a, b, high - low) for a, b, low, high in held]
 
 
-def log_odds(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int) -> dict[bytes, float]:
-    """Words with a clear log-odds ratio under an informative Dirichlet prior.
+def log_odds(counts: DataFrame) -> DataFrame:
+    """Words with a clear log-odds ratio under an informative Dirichlet prior: ``word``, ``score`` and their token counts.
 
-    A word counts once per document, so that a document which repeats one word cannot make it toxic; odds are against
-    all words of that label's documents.
+    ``counts`` has the documents of either label that hold a word (``toxic``, ``clean``), and how many there are under
+    the empty word. A word counts once per document, so that a document which repeats one word cannot make it toxic;
+    odds are against all words of that label's documents.
     """
-    n, out = n_toxic + n_clean, {}
+    named = F.col("word") != F.lit(b"")
+    of = lambda c, which: F.coalesce(F.sum(F.when(which, F.col(c))), F.lit(0)).cast("double")
+    totals = counts.agg(of("toxic", ~named), of("clean", ~named), of("toxic", named), of("clean", named)).first()
+    n_toxic, n_clean, total_a, total_b = totals
+    n = n_toxic + n_clean
     if not n_toxic or not n_clean:
-        return out
+        return counts.select("word", F.lit(0.0).alias("score"), "clean_tokens", "tokens").where("false")
     share_a, share_b = n_toxic / n, n_clean / n
-    total_a, total_b = sum(toxic.values()), sum(clean.values())
     prior_total = PRIOR * (total_a + total_b) / n
-    for word in toxic.keys() | clean.keys():
-        a, b = toxic.get(word, 0), clean.get(word, 0)
-        prior = PRIOR * (a + b) / n
-        with_a, with_b = a + prior * share_a, b + prior * share_b
-        odds_a = with_a / max(total_a + prior_total * share_a - with_a, 1e-9)
-        odds_b = with_b / max(total_b + prior_total * share_b - with_b, 1e-9)
-        delta = math.log(odds_a / odds_b)
-        if abs(delta) >= MIN_Z * math.sqrt(1 / with_a + 1 / with_b):
-            out[word] = delta
-    return out
-
-
-def _lambda(shares: dict[float, float]) -> float:
-    """The positive root of sum p(s) exp(x s) = 1; a token distribution without positive scores takes 1."""
-    if max(shares, default=0) <= 0:
+    prior = F.lit(PRIOR / n) * (F.col("toxic") + F.col("clean"))
+    with_a, with_b = F.col("toxic") + prior * share_a, F.col("clean") + prior * share_b
+    odds = lambda x, total, share: x / F.greatest(F.lit(total + prior_total * share) - x, F.lit(1e-9))
+    delta = F.ln(odds(with_a, total_a, share_a) / odds(with_b, total_b, share_b))
+    clear = F.abs("score") >= MIN_Z * F.sqrt(1 / with_a + 1 / with_b)
+    return counts.where(named).withColumn("score", delta).where(clear).select("word", "score", "clean_tokens", "tokens")
+
+
+def tail_rate(scores: list[float], shares: list[float], drift: float) -> float:
+    """The positive root of sum p(s - drift) exp(x (s - drift)) = 1; what is left of the shares scores 0.
+
+    Without a positive score there are no segments and any rate will do: 1.
+    """
+    if max(scores, default=0.0) <= drift:
         return 1.0
-    value = lambda x: sum(p * math.exp(min(700.0, x * s)) for s, p in shares.items())
+    rest = math.log(max(1e-300, 1 - sum(shares)))
+    parts = [(math.log(p), s - drift) for p, s in zip(shares, scores) if p > 0] + [(rest, -drift)]
+
+    def excess(x: float) -> float:
+        terms = [p + x * s for p, s in parts]
+        most = max(terms)
+        return most + math.log(sum(math.exp(t - most) for t in terms))
+
     low, high = 0.0, 1.0
-    while value(high) < 1 and high < 64:
-        high *= 2
-    for _ in range(60):
+    while excess(high) < 0:
+        low, high = high, 2 * high
+    for _ in range(80):
         mid = (low + high) / 2
-        low, high = (mid, high) if value(mid) < 1 else (low, mid)
-    return min(max(low, 1e-3), 1.0)
+        low, high = (mid, high) if excess(mid) < 0 else (low, mid)
+    return high
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -162,72 +177,67 @@ def learn(
     sample = marked.where(F.pmod(F.xxhash64("_label_id"), F.lit(2**31)) < share)
     rows = docs.select(id_col, text_col).join(F.broadcast(sample), docs[id_col] == sample["_label_id"])
     rows = rows.select("_toxic", F.col(text_col).cast("binary").alias("_text"))
-    counted = rows.mapInArrow(_count_words(arrow_schema(COUNTS)), COUNTS).groupBy("word")
-    toxic, clean = Counter(), Counter()
-    for word, a, b in counted.agg(F.sum("toxic"), F.sum("clean")).toLocalIterator():
-        if a:
-            toxic[bytes(word)] = a
-        if b:
-            clean[bytes(word)] = b
-    n_toxic, n_clean = toxic.pop(b"", 0), clean.pop(b"", 0)
-    model = Model(scores=log_odds(toxic, clean, n_toxic, n_clean))
-    if not model.scores:
-        return model
-    _calibrate(spark, rows, model)
+    sums = [F.sum(c).alias(c) for c in ("toxic", "clean", "clean_tokens", "tokens")]
+    counts = rows.mapInArrow(_count_words(arrow_schema(COUNTS)), COUNTS).groupBy("word").agg(*sums)
+    counts = stored(spark, counts, "word_counts")
+    found = [(bytes(w), *x) for w, *x in log_odds(counts).toLocalIterator()]
+    if not found:
+        return Model()
+    model = Model(scores={w: s for w, s, *_ in found})
+    none = F.lit(b"")
+    of_all = [F.sum(F.when(F.col("word") != none, F.col(c))).cast("double") for c in ("clean_tokens", "tokens")]
+    texts = F.sum(F.when(F.col("word") == none, F.col("toxic") + F.col("clean"))).cast("double")
+    clean_tokens, tokens, n_texts = counts.agg(*of_all, texts).first()
+    prior = PRIOR * tokens / n_texts
+    shares = [(c + prior * t / tokens) / (clean_tokens + prior) for _, _, c, t in found]
+    scores = list(model.scores.values())
+    model.drift = DRIFT + max(0.0, sum(p * s for p, s in zip(shares, scores)))
+    model.rate = tail_rate(scores, shares, model.drift)
+    calibrate(spark, rows, model)
     return model
 
 
 def _count_words(shape: pa.Schema):
-    """Documents of either label that contain a word; the empty word counts the documents."""
+    """Documents of either label that contain a word, and how often it stands; the empty word counts the documents."""
 
     def run(batches):
-        toxic, clean = Counter(), Counter()
+        toxic, clean, clean_tokens, tokens = Counter(), Counter(), Counter(), Counter()
         for label, text in rows_of(batches, "_toxic", "_text"):
-            words = set(WORD_BYTES.findall(text.lower())) if text else set()
-            (toxic if label else clean).update(words | {b""})
+            words = Counter(WORD_BYTES.findall(text.lower())) if text else Counter()
+            tokens.update(words)
+            if not label:
+                clean_tokens.update(words)
+            (toxic if label else clean).update(words.keys() | {b""})
         words = list(toxic.keys() | clean.keys())
         for i in range(0, len(words), 50_000):
-            yield batch_of([(w, toxic[w], clean[w]) for w in words[i : i + 50_000]], shape)
+            yield batch_of([(w, toxic[w], clean[w], clean_tokens[w], tokens[w]) for w in words[i : i + 50_000]], shape)
 
     return run
 
 
-def _calibrate(spark: SparkSession, rows: DataFrame, model: Model) -> None:
-    """Fit lambda, K and the logistic curve on the sample's texts, scanned where they lie."""
-    shared = spark.sparkContext.broadcast(model)
-    token_shape, text_shape = arrow_schema(TOKENS), arrow_schema(TEXTS)
+def calibrate(spark: SparkSession, rows: DataFrame, model: Model) -> None:
+    """Fit K and the logistic curve on texts (``_toxic``, ``_text``), scanned where they lie; lambda and scores are given."""
+    texts = _per_text(spark, rows, model, BEST, lambda m, words: (len(words), max((s for *_, s in m.segments(words)), default=0.0)))
+    # n exp(-lambda M) is exponential with rate K over clean texts; of a text without a segment it is n or more.
+    clean = [(n * math.exp(-model.rate * best), best > 0) for label, n, best in texts if not label and n]
+    if clean:
+        model.k = max(1, sum(seen for _, seen in clean)) / max(1e-300, sum(e for e, _ in clean))
+    texts = _per_text(spark, rows, model, STATISTIC, lambda m, words: (m.statistic(words),))
+    x = np.array([math.log1p(statistic) for _, statistic in texts])
+    model.intercept, model.slope = _logistic(x, np.array([label for label, _ in texts], float))
 
-    def tokens(batches):
-        seen = Counter()
-        for label, text in rows_of(batches, "_toxic", "_text"):
-            if not label and text:
-                get = shared.value.scores.get
-                seen.update(round(get(w, 0.0), 1) for w in WORD_BYTES.findall(text.lower()))
-        yield batch_of(list(seen.items()), token_shape)
 
-    def best(batches):
+def _per_text(spark: SparkSession, rows: DataFrame, model: Model, schema: str, of_words) -> list:
+    """The label and numbers of each text."""
+    shared, shape = spark.sparkContext.broadcast(model), arrow_schema(schema)
+
+    def run(batches):
         found = []
         for label, text in rows_of(batches, "_toxic", "_text"):
-            words = WORD_BYTES.findall(text.lower()) if text else []
-            found.append((label, len(words), [s for *_, s in shared.value.segments(words)]))
-        yield batch_of(found, text_shape)
-
-    counts = {s: n for s, n in rows.mapInArrow(tokens, TOKENS).groupBy("score").agg(F.sum("n")).collect()}
-    total = sum(counts.values())
-    if total:
-        model.rate = _lambda({s - DRIFT: n / total for s, n in counts.items()})
-    texts = rows.mapInArrow(best, TEXTS).collect()
-    # n exp(-lambda M) is exponential with rate K over clean texts; a text without a segment has M = 0.
-    clean = [n * math.exp(-model.rate * max(scores, default=0.0)) for label, n, scores in texts if not label and n]
-    if clean and sum(clean) > 0:
-        model.k = min(1.0, len(clean) / sum(clean))
-
-    def statistic(n, scores):
-        found = (model.expectation(s, n) for s in scores)
-        return sum(-math.log(max(e, 1e-300)) for e in found if e < MAX_E)
-
-    x = np.array([math.log1p(statistic(n, scores)) for _, n, scores in texts])
-    model.intercept, model.slope = _logistic(x, np.array([label for label, *_ in texts], float))
+            found.append((label, *of_words(shared.value, WORD_BYTES.findall(text.lower()) if text else [])))
+        yield batch_of(found, shape)
+
+    return rows.mapInArrow(run, schema).collect()
 
 
 def score(
