@@ -109,6 +109,42 @@ def test_contamination_edges(spark, docs, nothing):
     assert decontaminate.decontaminate(spark, nothing, items).count() == 0
 
 
+def test_packs_are_made_and_released_one_by_one(spark, docs, monkeypatch):
+    """The driver holds one pack at a time, and cuts an item longer than a pack without losing a window."""
+    long = " ".join(f"wort{i}" for i in range(300))
+    items = benchmark(spark, *((i, f"lazy dog {i} and then it sleeps for") for i in range(20)), (100, long), (None, "quick brown fox"))
+    alive, most, sizes = [], [], []
+    make, broadcast = decontaminate._Pack, spark.sparkContext.broadcast
+
+    class Held:
+        def __init__(self, pack):
+            self.inner = broadcast(pack)
+            alive.append(self)
+            most.append(len(alive))
+            sizes.append(len(pack.terms))
+
+        def destroy(self):
+            alive.remove(self)
+            self.inner.destroy()
+
+        @property
+        def value(self):
+            return self.inner.value
+
+        def __reduce__(self):
+            return self.inner.__reduce__()
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", Held)
+    few = decontaminate.contamination(spark, docs, items, pack_words=40).collect()
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    assert len(most) > 5 and max(most) == 1 and not alive and max(sizes) <= 40 + 12 + 40
+    whole = decontaminate.contamination(spark, docs, items).collect()
+    shown = lambda rows: sorted((str(r._id), r._key, r.n_words, sorted(map(str, r["items"])), {i for s in r.spans for i in range(s.a, s.b)}) for r in rows)
+    key = lambda rows: [(a, b, c, d, sorted(e)) for a, b, c, d, e in shown(rows)]
+    assert key(few) == key(whole) and any("100" in d for _, _, _, d, _ in shown(few)) and any("None" in d for _, _, _, d, _ in shown(few))
+    assert make is decontaminate._Pack
+
+
 def test_phrases_and_proximity_against_brute_force(spark):
     rng = random.Random(3)
     texts = [[rng.choice("abcdefg") for _ in range(rng.randrange(0, 60))] for _ in range(40)]
@@ -130,6 +166,13 @@ def test_phrases_and_proximity_against_brute_force(spark):
         need = set(phrase.split())
         want = {d for d, t in enumerate(texts) if any(need <= set(t[i : i + 4]) for i in range(len(t)))}
         assert {r.doc_id for r in near if r.item_id == item} == want
+    for pack_words in (1_000_000, 2):  # one pass, and one for each item
+        found = decontaminate.contamination(spark, docs, items, block_words=100, pack_words=pack_words, near_span=4).collect()
+        assert len(found) == len(texts)
+        for item, phrase in wanted.items():
+            need, parts = set(phrase.split()), phrase.split()
+            assert {r._id for r in found if item in r.near} == {d for d, t in enumerate(texts) if any(need <= set(t[i : i + 4]) for i in range(len(t)))}
+            assert {r._id for r in found if item in r["items"]} == {d for d, t in enumerate(texts) if any(t[i : i + len(parts)] == parts for i in range(len(t)))}
     assert all(0 < r.end - r.start <= 4 and set(wanted[r.item_id].split()) <= set(texts[r.doc_id][r.start : r.end]) for r in near)
 
 

@@ -6,10 +6,14 @@ each document (``starts``). Building it shuffles nothing, and a search is one pa
 phrase takes the posting list of its rarest term, shifts it by the term's offset in the phrase and intersects it with
 the other terms' lists, rarest first. The terms are stored as they are, so a match is exact.
 
-Test texts reach the executors in packs of bounded size (``pack_words``); a larger test set takes more passes, never a
-larger broadcast. Defined results: a NULL text has no words; a repeated document row is judged as a row of its own; an
-item without words, or an empty benchmark, matches nothing; equal phrases of several items are searched once and
-count for each; rows of a benchmark that repeat an item id are one item.
+Proximity takes the same lists: from the rarest term's postings on, it asks of each term whether one lies near enough.
+
+Test texts reach the executors in packs of bounded size (``pack_words``). A larger test set takes more passes, one after
+the other: a pass's hits are stored and its broadcast is released before the next pack is made, and an item longer than
+a pack is cut into overlapping parts. Defined results: a NULL text has no words; a repeated document row is judged as a
+row of its own; an item without words, or an empty benchmark, matches nothing; equal phrases of several items are
+searched once and count for each; rows of a benchmark that repeat an item id are one item, as are those whose id is
+NULL, which are counted but have no id to show in a digest of ids.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from __future__ import annotations
 import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import count
 
 import numpy as np
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import WORD_BYTES, arrow_schema, arrow_type, batch_of, row_key, rows_of, select_rows, small_batches, stored
 
 WINDOW = 13
+NEAR_SPAN = 20
 BLOCK_WORDS = 1_000_000
 PACK_WORDS = 1_000_000
 
@@ -139,11 +145,15 @@ def _packs(items: DataFrame, id_col: str, text_col: str, window: int | None, pac
     held, size, any_pack = [], 0, False
     for item, text in items.select(id_col, F.col(text_col).cast("binary")).toLocalIterator():
         words = WORD_BYTES.findall(bytes(text).lower()) if text is not None else []
-        held.append((item, words))
-        size += len(words)
-        if size >= pack_words:
-            yield _Pack(held, window)
-            held, size, any_pack = [], 0, True
+        # Parts of a long item share the words of the windows between them; a whole phrase cannot be cut.
+        first = range(0, max(1, len(words) - window + 1), pack_words) if window else (0,)
+        for i in first:
+            part = words[i : i + pack_words + window - 1] if window else words
+            held.append((item, part))
+            size += len(part)
+            if size >= pack_words:
+                yield _Pack(held, window)
+                held, size, any_pack = [], 0, True
     if held or not any_pack:
         yield _Pack(held, window)
 
@@ -210,10 +220,8 @@ def find_phrases(
 
         return run
 
-    return _union(
-        index.mapInArrow(search(spark.sparkContext.broadcast(pack)), schema)
-        for pack in _packs(items, item_col, text_col, window, pack_words)
-    )
+    packs = _packs(items, item_col, text_col, window, pack_words)
+    return reduce(DataFrame.union, _in_passes(spark, index, lambda shared, _: search(shared), schema, packs))
 
 
 def find_near(
@@ -253,10 +261,8 @@ def find_near(
 
         return run
 
-    return _union(
-        index.mapInArrow(search(spark.sparkContext.broadcast(pack)), schema)
-        for pack in _packs(items, item_col, text_col, None, pack_words)
-    )
+    packs = _packs(items, item_col, text_col, None, pack_words)
+    return reduce(DataFrame.union, _in_passes(spark, index, lambda shared, _: search(shared), schema, packs))
 
 
 def _near(block: _Block, terms: np.ndarray, span: int) -> Iterator[tuple[int, int, int]]:
@@ -288,6 +294,43 @@ def _near(block: _Block, terms: np.ndarray, span: int) -> Iterator[tuple[int, in
             yield d, best[1] - first, best[1] - first + best[0]
 
 
+def _near_documents(block: _Block, terms: np.ndarray, span: int) -> np.ndarray:
+    """Documents of the block in which all terms lie within ``span`` words."""
+    lists = sorted((block.postings(t) for t in terms), key=len)
+    at = lists[0]
+    for there in lists[1:]:
+        found = np.searchsorted(there, at - span + 1)
+        at = at[(found < len(there)) & (there[np.minimum(found, len(there) - 1)] < at + span)]
+        if not len(at):
+            return at
+    # Such a place starts at one of the terms, at most a span before the rarest: the others must follow in time.
+    starts = [at]
+    for there in lists[1:]:
+        follow = np.searchsorted(at, there)
+        inside = follow < len(at)
+        starts.append(there[inside][at[follow[inside]] < there[inside] + span])
+    starts = np.concatenate(starts)
+    last = np.minimum(starts + span, block.starts[block.document(starts) + 1])
+    for there in lists:
+        found = np.searchsorted(there, starts)
+        fits = (found < len(there)) & (there[np.minimum(found, len(there) - 1)] < last)
+        starts, last = starts[fits], last[fits]
+    return np.unique(block.document(starts))
+
+
+def _near_items(block: _Block, pack: _Pack, span: int) -> dict[int, set]:
+    """Items by document whose phrase's words lie within ``span`` words."""
+    numbers = np.fromiter((block.number.get(t, -1) for t in pack.terms), np.int32, len(pack.terms))
+    out = defaultdict(set)
+    for phrases, owners in pack.phrases.values():
+        for i in np.flatnonzero(numbers[phrases].min(axis=1) >= 0):
+            terms = np.unique(numbers[phrases[i]])
+            if len(terms) <= span:
+                for d in _near_documents(block, terms, span).tolist():
+                    out[d].update(owners[i])
+    return out
+
+
 def contamination(
     spark: SparkSession,
     docs: DataFrame,
@@ -299,19 +342,23 @@ def contamination(
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
     pack_words: int = PACK_WORDS,
+    near_span: int | None = None,
 ) -> DataFrame:
-    """Per document row: ``_id``, ``_key``, ``n_words``, hit ``spans`` (words), ``items`` whose windows occur."""
+    """Per document row: ``_id``, ``_key``, ``n_words``, hit ``spans`` (words), ``items`` whose windows occur.
+
+    With ``near_span`` also ``near``, the items of which all words of a window lie within that many words, in any order.
+    """
     index = build_index(spark, docs, id_col, text_col, block_words)
     doc_kind = index.schema["ids"].dataType.elementType.simpleString()
     item_kind = benchmark.schema[item_col].dataType.simpleString()
     schema = (
         f"block string, row int, _id {doc_kind}, _key bigint, n_words bigint, "
-        f"spans array<struct<a:bigint,b:bigint>>, items array<{item_kind}>"
+        f"spans array<struct<a:bigint,b:bigint>>, items array<{item_kind}>, near array<{item_kind}>"
     )
 
     shape = arrow_schema(schema)
 
-    def search(shared):
+    def search(shared, first):
         def run(batches):
             pack = shared.value
             for row in rows_of(batches, *_COLUMNS):
@@ -324,32 +371,42 @@ def contamination(
                     for d in np.unique(block.document(starts)).tolist():
                         items[d].update(owners)
                 spans = _spans(block, edges)
+                near = _near_items(block, pack, near_span) if near_span else {}
+                named = lambda found, d, pack=pack: [pack.items[o] for o in sorted(found.get(d, ()))]
                 yield batch_of(
                     [
-                        (block.block, d, block.ids[d], block.keys[d], int(n), spans.get(d, []), [pack.items[o] for o in sorted(items.get(d, ()))])
+                        (block.block, d, block.ids[d], block.keys[d], int(n), spans.get(d, []), named(items, d), named(near, d))
                         for d, n in enumerate(np.diff(block.starts))
+                        # The first pass names every document, the others add what they find.
+                        if first or d in items or d in near
                     ],
                     shape,
                 )
 
         return run
 
-    passes = [
-        index.mapInArrow(search(spark.sparkContext.broadcast(pack)), schema)
-        for pack in _packs(benchmark, item_col, item_text_col, window, pack_words)
-    ]
+    packs = _packs(benchmark, item_col, item_text_col, window, pack_words)
+    passes = _in_passes(spark, index, search, schema, packs)
+    out = ["_id", "_key", "n_words", "spans", "items", *(["near"] if near_span else [])]
     if len(passes) == 1:
-        return passes[0].drop("block", "row")
-    return (
-        _union(passes)
-        .groupBy("block", "row")
-        .agg(
-            *(F.first(c).alias(c) for c in ("_id", "_key", "n_words")),
-            F.flatten(F.collect_list("spans")).alias("spans"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        )
-        .drop("block", "row")
+        return passes[0].select(out)
+    whole = reduce(DataFrame.union, passes).groupBy("block", "row").agg(
+        *(F.first(c).alias(c) for c in ("_id", "_key", "n_words")),
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        *(F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("items", "near")),
     )
+    return whole.select(out)
+
+
+def _in_passes(spark: SparkSession, index: DataFrame, search, schema: str, packs: Iterable[_Pack]) -> list[DataFrame]:
+    """What ``search(broadcast pack, whether it is the first)`` finds in the index, pack by pack; the driver and the
+    executors hold one pack at a time."""
+    passes = []
+    for pack in packs:
+        shared = spark.sparkContext.broadcast(pack)
+        passes.append(stored(spark, index.mapInArrow(search(shared, not passes), schema), "hits"))
+        shared.destroy()
+    return passes
 
 
 def _spans(block: _Block, edges: np.ndarray) -> dict[int, list[dict]]:
@@ -390,13 +447,3 @@ def decontaminate(
     found = contamination(spark, docs, benchmark, id_col, text_col, **options)
     bad = found.where(is_contaminated(covered(F.col("spans")), F.col("n_words"))).select("_id", "_key").distinct()
     return select_rows(docs, stored(spark, bad, "contaminated"), id_col, text_col, "left_anti")
-
-
-# --- helpers --------------------------------------------------------------------------
-
-
-def _union(frames: Iterable[DataFrame]) -> DataFrame:
-    first, *rest = frames
-    for df in rest:
-        first = first.union(df)
-    return first

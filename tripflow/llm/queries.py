@@ -76,6 +76,7 @@ def _contract2(found: DataFrame) -> DataFrame:
         hit.alias("n_hit"),
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.array_sort(F.col("items").cast("array<string>")), ","), 256).alias("items_sha256"),
+        F.size("near").cast("bigint").alias("n_near"),
     ).withColumn("contaminated", decontaminate.is_contaminated(F.col("n_hit"), F.col("n_words")))
 
 
@@ -96,13 +97,22 @@ hits AS (SELECT DISTINCT doc_id, item_id, i, n FROM spots JOIN g USING (n, phras
 words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
   FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id),
+sets AS (SELECT phrase, list_distinct(string_split(phrase, ' ')) AS need FROM (SELECT DISTINCT phrase FROM g)),
+holds AS (SELECT doc_id, phrase FROM (SELECT DISTINCT doc_id, unnest(w) AS word FROM d)
+  JOIN (SELECT phrase, len(need) AS k, unnest(need) AS word FROM sets) USING (word) GROUP BY doc_id, phrase, k HAVING count(*) = k),
+places AS (SELECT doc_id, phrase, need, w, unnest(range(1, len(w) + 1)) AS i FROM holds JOIN sets USING (phrase) JOIN d USING (doc_id)),
+near AS (SELECT DISTINCT doc_id, phrase FROM places WHERE list_contains(need, w[i]) AND list_has_all(w[i : i + {decontaminate.NEAR_SPAN - 1}], need)),
+nears AS (SELECT doc_id, count(*) AS n_near
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM near JOIN g USING (phrase)) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+  coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN nears USING (doc_id)""",
 )
 def op2(spark, d):
-    return _contract2(decontaminate.contamination(spark, _table(spark, d, "documents"), _table(spark, d, "benchmark")))
+    docs, items = _table(spark, d, "documents"), _table(spark, d, "benchmark")
+    return _contract2(decontaminate.contamination(spark, docs, items, near_span=decontaminate.NEAR_SPAN))
 
 
 # --- 3 -----------------------------------------------------------------------------------
