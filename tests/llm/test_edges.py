@@ -74,6 +74,28 @@ def test_archive_restores_records(spark, tmp_path):
     assert b"X: y" not in records["2"].replace(b"%0D%0AX: y", b"") and b"WARC-Refers-To: <urn:record:1>" in records["2"]
 
 
+def test_records_read_back_from_their_bytes(spark, tmp_path):
+    ids = ["a", "", None, "x\r\ny", "50%", "%0A", "<urn:record:z>", "ü\u2028"]
+    rows = [(i, f"http://a/{k}", "same" if k % 2 else f"own {k}\r\n\r\nbody", "d", "h") for k, i in enumerate(ids)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string, _head string, _record string")
+    path = f"{tmp_path}/archive"
+    warc.write_archive(spark, pages, path)
+    records = warc.original_records(spark, path)
+    got = warc.read_records(records).collect()
+    assert sorted((r.record or "none", r.url) for r in got) == sorted((i if i else i or ("none" if i is None else ""), u) if i else ("none", u) for i, u, *_ in rows)
+    assert {r.record for r in got} == set(ids)
+    first = min(i for i, _, html, *_ in rows if html == "same" and i is not None)
+    assert {r.refers for r in got if r.record_type == "revisit"} == {first}
+    # Bytes that are no text, and records that are not what their archive says.
+    raw = spark.createDataFrame([(1, "u", b"\xff\xfe\r\n\r\n\x00")], "page_id bigint, url string, html binary")
+    warc.write_archive(spark, raw, f"{tmp_path}/raw")
+    assert [r.payload_bytes for r in warc.read_records(warc.original_records(spark, f"{tmp_path}/raw")).collect()] == [7]
+    text = F.col("warc").cast("string")
+    for broken in (F.concat("warc", F.lit(b"x")), F.replace(text, F.lit("own"), F.lit("OWN")).cast("binary"), F.replace(text, F.lit("sha1:"), F.lit("sha1:A")).cast("binary")):
+        with pytest.raises(Exception, match="does not read back"):
+            warc.read_records(records.withColumn("warc", broken)).collect()
+
+
 def test_archive_limits_and_damage(spark, tmp_path):
     path = archive(spark, tmp_path, [(1, "u", "ab", "", ""), (2, "u", "ab", "", ""), (3, "u", "abc", "", ""), (4, "u", "abc", "", "")], min_bytes=3)
     assert {r.record: r.record_type for r in warc.read_archive(spark, path).collect()} == {"1": "response", "2": "response", "3": "response", "4": "revisit"}
@@ -551,7 +573,7 @@ def test_url_rules_against_brute_force(spark):
     got = urls.filter_urls(pages, urls.rules_table(spark, RULES)).collect()
     assert len(got) == len(rows)
     for r in got:
-        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", r.url or "")
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", r.page.url or "")
         host, path = (m[1].lower() if m else ""), (m[2] if m else "")
         fits = [(len(h + p), h + p, v) for h, p, v in BASE_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
         if fits:
@@ -559,9 +581,9 @@ def test_url_rules_against_brute_force(spark):
         else:
             own = [rule for rule in RULES if rule[2] == 0 and re.search(rule[3], host + path)]
             want = (None, "block" if own else "allow")
-        assert (r._host, r._path) == (host, path)
-        assert (r._rule if r._rank == 1 else None, r._verdict) == want, r.url
-    assert {"block", "allow"} == {r._verdict for r in got}
+        assert (r.host, r.path) == (host, path)
+        assert (r.rule if r.rank == 1 else None, r.verdict) == want, r.page.url
+    assert {"block", "allow"} == {r.verdict for r in got}
     assert urls.filter_urls(pages.where("false"), urls.rules_table(spark, RULES)).count() == 0
 
 
@@ -583,7 +605,21 @@ def test_url_words_beside_other_scripts_match_sql(spark, tmp_path):
     # A rule whose host is not ASCII keeps its literals.
     odd = urls.rules_table(spark, [urls.prefix_rule("例え.テスト", "/", "block")])
     pages = spark.createDataFrame([(1, "http://www.例え.テスト/a"), (2, "http://例.テスト/a")], "page_id bigint, url string")
-    assert {(r.page_id, r._verdict) for r in urls.filter_urls(pages, odd).collect()} == {(1, "block"), (2, "allow")}
+    assert {(r.page.page_id, r.verdict) for r in urls.filter_urls(pages, odd).collect()} == {(1, "block"), (2, "allow")}
+
+
+def test_url_rules_are_filed_under_path_tokens_too(spark):
+    assert urls.prefix_rule("org", "/fr/", "allow")[4] == ["org", "fr"]
+    assert urls.prefix_rule("example.com", "/De/a-bc", "block")[4] == ["example", "com", "de", "a"]
+    with pytest.raises(ValueError, match="whole token"):
+        urls.prefix_rule("net", "", "block")
+    given = [f"http://x{i}.org/{'fr' if i == 0 else 'it'}/{i}" for i in range(50)] + ["http://a.org/french", "http://a.org/FR/", "http://org/fr/", "http://fr.net/org"]
+    pages = spark.createDataFrame(list(enumerate(given)), "page_id bigint, url string")
+    rules = urls.rules_table(spark, [urls.prefix_rule("org", "/fr/", "block")])
+    tokens = pages.select(F.explode(urls.tokens_of(F.concat(urls.host_of(F.col("url")), urls.path_of(F.col("url"))))).alias("token"))
+    assert [r.token for r in urls.rarest_literals(tokens, rules).collect()] == ["fr"]
+    blocked = {r.page.url for r in urls.filter_urls(pages, rules).collect() if r.verdict == "block"}
+    assert blocked == {"http://x0.org/fr/0", "http://org/fr/"}
 
 
 # --- 10 --------------------------------------------------------------------------------

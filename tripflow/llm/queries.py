@@ -41,27 +41,45 @@ list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTU
   'string_agg', '')"""
 
 
+# The record as it stands in a WARC file, line by line.
+_RECORD = f"""
+concat_ws(chr(13) || chr(10), 'WARC/1.1', 'WARC-Type: ' || record_type, 'WARC-Record-ID: <urn:record:' || page_id || '>',
+  'WARC-Date: {warc.DATE}', 'WARC-Target-URI: ' || replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A'),
+  'WARC-Payload-Digest: sha1:' || payload_digest,
+  CASE WHEN refers_to IS NOT NULL THEN concat_ws(chr(13) || chr(10), 'WARC-Profile: {warc.PROFILE}', 'WARC-Refers-To: <urn:record:' || refers_to || '>') END,
+  'Content-Type: application/http; msgtype=response',
+  'Content-Length: ' || (strlen(http) + CASE WHEN refers_to IS NULL THEN payload_bytes ELSE 0 END), '', http)
+  || CASE WHEN refers_to IS NULL THEN payload ELSE '' END || repeat(chr(13) || chr(10), 2)"""
+
+
 @_query(
     "op1_warc",
     f"""
-WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
-m AS (SELECT page_id, payload, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
-SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
-  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
-FROM m""",
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
+m AS (SELECT *, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p),
+r AS (SELECT page_id, url, payload, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+    CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
+    concat_ws(chr(13) || chr(10), 'HTTP/1.1 200 OK', 'Content-Type: text/html; charset=utf-8', 'Content-Length: ' || strlen(payload), '', '') AS http
+  FROM m),
+w AS (SELECT *, {_RECORD} AS record FROM r)
+SELECT page_id, payload_bytes, payload_digest, record_type, refers_to, CAST(strlen(record) AS BIGINT) AS record_bytes,
+  sha256(record) AS record_sha256
+FROM w""",
 )
 def op1(spark, d):
     pages = _table(spark, d, "pages")
     path = scratch_path(spark, "archive")
     warc.write_archive(spark, pages, path)
     kind = pages.schema["page_id"].dataType
-    return warc.read_archive(spark, path).select(
+    return warc.read_records(warc.original_records(spark, path)).select(
         F.col("record").cast(kind).alias("page_id"),
         "payload_bytes",
         "payload_digest",
         "record_type",
         F.col("refers").cast(kind).alias("refers_to"),
+        F.octet_length("warc").cast("bigint").alias("record_bytes"),
+        F.sha2("warc", 256).alias("record_sha256"),
     )
 
 
@@ -249,13 +267,7 @@ FROM p LEFT JOIN m USING (page_id)""",
 )
 def op9(spark, d):
     found = urls.filter_urls(_table(spark, d, "pages"), urls.rules_table(spark, RULES))
-    return found.select(
-        "page_id",
-        F.col("_host").alias("host"),
-        F.col("_path").alias("path"),
-        F.when(F.col("_rank") == 1, F.col("_rule")).alias("rule"),
-        F.col("_verdict").alias("verdict"),
-    )
+    return found.select("page.page_id", "host", "path", F.when(F.col("rank") == 1, F.col("rule")).alias("rule"), "verdict")
 
 
 # --- 10 ----------------------------------------------------------------------------------

@@ -7,7 +7,8 @@ decides, of equal ranks the longer rule, then the rule later by name.
 
 Distinct URLs are judged once, so one that a third of the pages share is one row until its verdict is joined back. The
 rules are not broadcast by this code: Spark does it below its own threshold, and else joins on the tokens. Defined
-results: a NULL URL, or one without ``://``, has an empty host and path and the default verdict, as has an empty URL.
+results: a NULL URL, or one without ``://``, has an empty host and path and the default verdict, as has an empty URL;
+repeated rows are judged each; an empty table has no rows; columns of any name pass through.
 """
 
 from __future__ import annotations
@@ -33,9 +34,16 @@ def path_of(url: Column) -> Column:
 
 
 def prefix_rule(host: str, path: str, verdict: str, rank: int = 1) -> tuple:
-    """A rule for a host with its subdomains and the paths that start with ``path``."""
+    """A rule for a host with its subdomains and the paths that start with ``path``.
+
+    Its literals are the tokens of both that the rule itself ends: what stands last may go on in a URL.
+    """
     quoted = re.sub(r"([^0-9A-Za-z])", r"\\\1", host + path)
-    return f"{host}{path}", verdict, rank, f"(?s)^(?:[^/]*\\.)?{quoted}", re.findall("[a-z0-9]+|[\x80-\U0010ffff]+", host)
+    whole = re.sub("[A-Z]+", lambda m: m[0].lower(), host + path)
+    literals = [m[0] for m in re.finditer("[a-z0-9]+|[\x80-\U0010ffff]+", whole) if m.end() < len(whole)]
+    if not literals:
+        raise ValueError(f"a rule needs a whole token: {host + path!r}")
+    return f"{host}{path}", verdict, rank, f"(?s)^(?:[^/]*\\.)?{quoted}", list(dict.fromkeys(literals))
 
 
 def pattern_rule(name: str, verdict: str, pattern: str, literals: list[str], rank: int = 0) -> tuple:
@@ -59,7 +67,7 @@ def rarest_literals(tokens: DataFrame, rules: DataFrame) -> DataFrame:
 
 def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
     """Distinct URLs with ``_host``, ``_path``, and ``_best`` (rule, verdict, rank) where a rule matches."""
-    urls = pages.select(F.col(url_col).alias("_url")).where(F.col("_url").contains("://")).distinct()
+    urls = pages.select(F.col(f"`{url_col}`").alias("_url")).where(F.col("_url").contains("://")).distinct()
     parts = urls.select("_url", F.concat(host_of(F.col("_url")), path_of(F.col("_url"))).alias("_where"))
     tokens = parts.select("_url", "_where", F.explode(tokens_of(F.col("_where"))).alias("token"))
     found = tokens.join(rarest_literals(tokens.select("token"), rules), "token")
@@ -69,16 +77,17 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
-    """``pages`` with ``_host``, ``_path``, ``_rule``, ``_rank`` and ``_verdict``."""
+    """``page`` (a row's columns as a struct), ``host``, ``path``, ``rule``, ``rank`` and ``verdict``."""
     judged = judge(pages, rules, url_col)
-    url = F.coalesce(pages[url_col], F.lit(""))
-    return pages.join(judged, pages[url_col] == judged["_url"], "left").select(
-        *(pages[f"`{c}`"] for c in pages.columns),
-        host_of(url).alias("_host"),
-        path_of(url).alias("_path"),
-        F.col("_best.rule").alias("_rule"),
-        F.col("_best.rank").alias("_rank"),
-        F.coalesce("_best.verdict", F.lit(default)).alias("_verdict"),
+    rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in pages.columns)).alias("page"))
+    url = F.coalesce(rows["page"][url_col], F.lit(""))
+    return rows.join(judged, rows["page"][url_col] == judged["_url"], "left").select(
+        "page",
+        host_of(url).alias("host"),
+        path_of(url).alias("path"),
+        F.col("_best.rule").alias("rule"),
+        F.col("_best.rank").alias("rank"),
+        F.coalesce("_best.verdict", F.lit(default)).alias("verdict"),
     )
 
 

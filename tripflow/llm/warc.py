@@ -10,8 +10,9 @@ that a third of all pages share moves once per task. The digest is verified twic
 SHA-256 must agree in SHA-1 and length) and when read (both digests of the stored bytes are computed anew).
 
 Defined results: a NULL payload is empty; rows that repeat id and payload are the same record twice, both responses or
-both revisits; a NULL id is never the smallest unless all are NULL; NULL URLs give an empty target; line breaks in a
-URL are percent-encoded, so that a header stays one line.
+both revisits; a NULL id is never the smallest unless all are NULL and stands as a name without an id; NULL URLs give an
+empty target; line breaks in a URL or in an id of text are percent-encoded, so that a header stays one line, and ids are
+read back as they were; an empty table gives an empty archive.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 # RFC 4648, by value of five bits.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DATE = "2024-01-01T00:00:00Z"
+ESCAPES = [("%", "%25"), ("\r", "%0D"), ("\n", "%0A")]
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -32,6 +34,18 @@ def sha1_base32(payload: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
+def _escaped(value: Column) -> Column:
+    for plain, coded in ESCAPES:
+        value = F.replace(value.cast("string"), F.lit(plain), F.lit(coded))
+    return value
+
+
+def _unescaped(value: Column) -> Column:
+    for plain, coded in reversed(ESCAPES):
+        value = F.replace(value, F.lit(coded), F.lit(plain))
+    return value
+
+
 def _http(n: Column) -> Column:
     return F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), n, F.lit("\r\n\r\n"))
 
@@ -41,7 +55,7 @@ def _header(record: str, refers: str, url: str, sha1: str, n: str, date: str) ->
     http = _http(F.col(n))
     line = lambda name, *value: F.concat(F.lit(f"{name}: "), *value, F.lit("\r\n"))
     target = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(url), F.lit("")), "\r", "%0D"), "\n", "%0A")
-    named = lambda c: F.concat(F.lit("<urn:record:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
+    named = lambda c: F.concat(F.lit("<urn:record"), F.coalesce(F.concat(F.lit(":"), _escaped(F.col(c))), F.lit("")), F.lit(">"))
     response = F.col(refers).isNull() & ~F.col("_revisit")
     return F.concat(
         F.lit("WARC/1.1\r\n"),
@@ -100,7 +114,9 @@ def _field(header: Column, name: str) -> Column:
 
 
 def _named(value: Column) -> Column:
-    return F.nullif(F.regexp_extract(value, "^<urn:record:(.*)>$", 1), F.lit(""))
+    """The id in a record's name; a name without one, or a header that is missing, has none."""
+    name = "(?s)^<urn:record:(.*)>$"
+    return F.when(F.regexp_like(value, F.lit(name)), _unescaped(F.regexp_extract(value, name, 1)))
 
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame:
@@ -142,6 +158,39 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def original_records(spark: SparkSession, path: str) -> DataFrame:
-    """``record`` and ``warc``: each record as it stands in a WARC file, headers, block and closing line breaks."""
+    """``record`` and ``warc``: each record as it stands in a WARC file, headers, block and closing line breaks; and the
+    ``digest`` columns of the payload it holds or revisits."""
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return read_archive(spark, path).select("record", F.concat("header", body, F.lit(b"\r\n\r\n")).alias("warc"))
+    return read_archive(spark, path).select(
+        "record", "payload_digest", "payload_bytes", F.concat("header", body, F.lit(b"\r\n\r\n")).alias("warc")
+    )
+
+
+def read_records(records: DataFrame) -> DataFrame:
+    """Records parsed from their bytes: ``record_type``, ``refers`` and ``url`` beside the columns of ``original_records``.
+
+    A record whose id, length, block or payload differs from what its archive says fails the read.
+    """
+    end = "\r\n\r\n"
+    # Bytes as they are: the payload need not be text.
+    head = F.substring_index(F.col("warc").cast("string"), end, 1)
+    parsed = records.withColumn("_head", F.concat(head, F.lit("\r\n"))).select(
+        "*",
+        _named(_field(F.col("_head"), "WARC-Record-ID")).alias("_record"),
+        _field(F.col("_head"), "WARC-Type").alias("record_type"),
+        _named(_field(F.col("_head"), "WARC-Refers-To")).alias("refers"),
+        _field(F.col("_head"), "WARC-Target-URI").alias("url"),
+        F.regexp_replace(_field(F.col("_head"), "WARC-Payload-Digest"), "^sha1:", "").alias("_sha1"),
+        _field(F.col("_head"), "Content-Length").cast("bigint").alias("_length"),
+    )
+    start = F.octet_length("_head") + 2
+    block = F.substring("warc", start + 1, F.col("_length").cast("int"))
+    http = F.substring_index(block.cast("string"), end, 1)
+    payload = F.substring(block, F.octet_length(http) + len(end) + 1, F.col("_length").cast("int"))
+    whole = (F.octet_length("warc") == start + F.col("_length") + len(end)) & (F.substring("warc", -len(end), len(end)) == end.encode())
+    alike = F.col("record").eqNullSafe(F.col("_record")) & (F.col("_sha1") == F.col("payload_digest"))
+    response = F.col("record_type") == "response"
+    held = F.when(response, sha1_base32(payload) == F.col("_sha1")).otherwise(F.octet_length(payload) == 0)
+    wrong = F.raise_error(F.concat(F.lit("record does not read back: "), F.coalesce("record", F.lit("without an id"))))
+    fits = F.when(whole & alike & held, F.col("record_type")).otherwise(wrong)
+    return parsed.withColumn("record_type", fits).drop("_head", "_record", "_sha1", "_length")
