@@ -12,6 +12,7 @@ same result, for ``bernoulli_sample`` the properties of one.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -1210,18 +1211,12 @@ def q_warehouse_regression(spark, d):
 
 
 def _add_llm() -> None:
-    """Add the training-data queries where their subpackage is installed; other import errors are not hidden."""
-    optional = {"tripflow.llm", "tripflow.llm.queries", "corpus_pipeline"}
+    """Add the training-data queries where their subpackage and all it needs can be imported; else say what is missing."""
     try:
         import corpus_pipeline
         from tripflow.llm import queries as llm
-    except ModuleNotFoundError as missing:
-        if missing.name not in optional:
-            raise
-        return
-    except ImportError as missing:  # an empty folder may be left in place of the subpackage
-        if missing.name not in optional:
-            raise
+    except ImportError as missing:
+        warnings.warn(f"without the training-data queries: {missing}", stacklevel=2)
         return
     QUERIES.update(llm.QUERIES)
     ORACLE.update(llm.ORACLE)
