@@ -307,15 +307,59 @@ def test_quality(spark, data, tables):
         row, want = got.loc[doc], measured(text)
         assert tuple(row[columns]) == want
         assert row.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
-    assert not (got.kept & got.base_failed).any()
-    patterns = Counter(tuple(v) for v in got.votes)
-    accuracy, good = quality.fit(dict(patterns))
-    want = [quality._posterior(tuple(v), accuracy, good) for v in got.votes]
-    assert got.posterior.to_numpy() == pytest.approx(want)
+    votes = [ballot(t or "", measured(t)) for t in tables["documents"].text]
+    assert [tuple(got.votes[d]) for d in tables["documents"].doc_id] == votes
+    want = dict(zip(tables["documents"].doc_id, posteriors(np.array(votes))))
+    assert [got.posterior[d] for d in want] == pytest.approx(list(want.values()), abs=1e-6)
+    assert all(got.kept[d] == (not got.base_failed[d] and p >= 0.5) for d, p in want.items())
     # Nearly all that passes the base rule is clean, and is kept.
     assert got.kept[~got.base_failed].mean() > 0.8
 
 
+def ballot(text, found):
+    """The rules' votes, written out once more."""
+    words, chars, symbols, dup_lines, repeats = found
+    lines = sum(bool(x.strip(" \t\r\x0b\x0c")) for x in text.split("\n"))
+    capitals, stops = sum("A" <= c <= "Z" for c in text), sum(c in ".!?" for c in text)
+
+    def by_ratio(part, of, good, bad):
+        return 0 if not of else 1 if part / of <= good else -1 if part / of > bad else 0
+
+    mean = chars / words if words else None
+    return (
+        1 if words >= 50 else -1 if words < 20 else 0,
+        by_ratio(symbols, words, 0.05, 0.2),
+        by_ratio(symbols, chars, 0.01, 0.03),
+        by_ratio(dup_lines, lines, 0.1, 0.3),
+        by_ratio(repeats, words, 0.15, 0.5),
+        by_ratio(capitals, chars, 0.12, 0.3),
+        0 if mean is None else 1 if 3 <= mean <= 10 else -1 if mean < 2 or mean > 14 else 0,
+        0 if words < 20 else 1 if 100 * stops >= words else -1 if 400 * stops < words else 0,
+    )
+
+
+def posteriors(votes):
+    """EM over documents instead of patterns, in logarithms."""
+    yes, no, said = votes > 0, votes < 0, votes != 0
+    praise = np.tile([[0.95], [0.5]], votes.shape[1])  # of good, of bad documents
+    good = 0.8
+
+    def expect():
+        odds = np.log(good / (1 - good)) + yes @ np.log(praise[0] / praise[1]) + no @ np.log((1 - praise[0]) / (1 - praise[1]))
+        return 1 / (1 + np.exp(-odds))
+
+    for _ in range(quality.ROUNDS):
+        p = expect()
+        good = np.clip(p.mean(), 0.01, 0.99)
+        weight = np.stack([p, 1 - p])
+        up, every = weight @ yes + [[0.95], [0.5]], weight @ said + 1
+        rates = up / every
+        silent = rates[0] < rates[1]  # a rule that would count against its own vote says nothing
+        rates[:, silent] = (up.sum(axis=0) / every.sum(axis=0))[silent]
+        praise = np.clip(rates, 0.001, 0.999)
+    return expect()
+
+
 def test_pipeline(spark, data, tables):
     got = corpus_pipeline.run(spark, data).toPandas().set_index("doc_id")
     docs = tables["documents"]
