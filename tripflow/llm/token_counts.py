@@ -40,7 +40,8 @@ from tripflow.llm.common import arrow_type, rows_of, small_batches
 
 # Fixed value: contracted endings that are pre-tokens of their own.
 ENDINGS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
-UNIT = regex.compile(rf"\s*(?:(?<! )(?:{'|'.join(ENDINGS)})|\p{{L}}+|\p{{N}}+|[^\s\p{{L}}\p{{N}}]+)|\s+")
+# The commonest form first: no two alternatives begin alike, so their order is free, but for the last of the inner ones.
+UNIT = regex.compile(rf" ?\p{{L}}+|\s*(?:\p{{L}}+|\p{{N}}+|(?<! )(?:{'|'.join(ENDINGS)})|[^\s\p{{L}}\p{{N}}]+)|\s+")
 SPACE = regex.compile(r"\s*")
 CLASSES = [("a", regex.compile(r"\p{L}")), ("1", regex.compile(r"\p{N}")), ("!", regex.compile(r"[^\s\p{L}\p{N}]"))]
 KEPT_UNITS, KEPT_PAIRS, KEPT_LENGTH = 400_000, 1_000_000, 40
