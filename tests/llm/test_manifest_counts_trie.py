@@ -81,6 +81,26 @@ def test_manifest_against_hand_made_trees(spark, levels):
     assert [r._group for r in got].count(None) == 5
 
 
+def test_manifest_is_written_opened_and_asked_for_some_leaves(spark, tmp_path):
+    leaves = spark.range(3000).select(
+        F.concat(F.lit("g"), F.col("id") % 3).alias("_group"), F.col("id").alias("_id"),
+        merkle.leaf_digest(F.col("id")).alias("_leaf"), F.lit(None).cast("binary").alias("_claim"),
+    )
+    built = merkle.build(spark, leaves, 4, f"{tmp_path}/manifest")
+    opened = merkle.open_manifest(spark, f"{tmp_path}/manifest")
+    assert len(opened.tiers) == len(built.tiers) == 3 and merkle.root_of(opened) == merkle.root_of(built)
+    every = {r._id: bytes(r._folded) for r in merkle.verify(merkle.proofs(spark, built)).collect()}
+    assert len(every) == 3000 and set(every.values()) == {bytes.fromhex(merkle.root_of(built))}
+    wanted = spark.createDataFrame([(5,), (2999,), (5,), (77_777,)], "doc bigint")
+    some = merkle.verify(merkle.proofs(spark, opened, wanted)).collect()
+    assert {r._id: bytes(r._folded) for r in some} == {i: every[i] for i in (5, 2999)} and len(some) == 2
+    # Another order of the rows, and other builders, give the same root; another row does not.
+    again = merkle.build(spark, leaves.orderBy(F.rand(1)).repartition(7), 6)
+    assert merkle.root_of(again) == merkle.root_of(built)
+    assert merkle.root_of(merkle.build(spark, leaves.where("_id <> 17"), 4)) != merkle.root_of(built)
+    assert merkle.root_of(merkle.build(spark, leaves.where("false"), 4)) is None
+
+
 def test_positions_are_those_of_the_log():
     for leaves in range(1, 40):
         digests = [hashlib.sha256(str(i).encode()).digest() for i in range(leaves)]

@@ -28,9 +28,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import arrow_type, numbered, small_batches, stored
+from tripflow.session import scratch_path
 
 BUILDER_LEVELS = 9
 DIGEST = 32
+ABOUT = ("tiers", "root_tiers", "builder_levels")
 # What a path holds for each level: 0 for no sibling, 1 for one on the left, 2 on the right; then its digest.
 STEP = 1 + DIGEST
 NONE, LEFT, RIGHT = 0, 1, 2
@@ -170,9 +172,14 @@ def _build(nodes: DataFrame, id_type: pa.DataType, id_kind: str, builder_levels:
     return dealt.select("_group", "_run", "_index", "_total", "_id", "_leaf", "_claim").mapInArrow(build, kind)
 
 
-def _tiers(spark: SparkSession, nodes: DataFrame, id_type: pa.DataType, builder_levels: int, name: str) -> list[DataFrame]:
+def _tiers(spark: SparkSession, nodes: DataFrame, id_type: pa.DataType, builder_levels: int, path: str, name: str) -> list[DataFrame]:
     kind = nodes.schema["_id"].dataType.simpleString()
-    tiers = [stored(spark, _build(nodes, id_type, kind, builder_levels), f"{name}_0")]
+
+    def written(tier: DataFrame, n: int) -> DataFrame:
+        tier.write.option("compression", "zstd").parquet(f"{path}/{name}_{n}")
+        return spark.read.schema(tier.schema).parquet(f"{path}/{name}_{n}")
+
+    tiers = [written(_build(nodes, id_type, kind, builder_levels), 0)]
     while not tiers[-1].where(F.col("_run") > 0).isEmpty():
         runs = F.expr(f"shiftright(_total - 1, {builder_levels}) + 1")
         above = tiers[-1].select(
@@ -183,25 +190,43 @@ def _tiers(spark: SparkSession, nodes: DataFrame, id_type: pa.DataType, builder_
             F.expr(f"substring(log, -{DIGEST}, {DIGEST})").alias("_leaf"),
             F.lit(None).cast("binary").alias("_claim"),
         ).where("_total > 1")  # a group that has its root is done
-        tiers.append(stored(spark, _build(above, pa.string(), "string", builder_levels), f"{name}_{len(tiers)}"))
+        tiers.append(written(_build(above, pa.string(), "string", builder_levels), len(tiers)))
     return tiers
 
 
-def build(spark: SparkSession, leaves: DataFrame, builder_levels: int = BUILDER_LEVELS) -> Manifest:
+def build(spark: SparkSession, leaves: DataFrame, builder_levels: int = BUILDER_LEVELS, path: str | None = None) -> Manifest:
     """The manifest of ``leaves``: ``_group`` (string), ``_id``, ``_leaf`` (digest), ``_claim`` (digest that is put to
-    the test in the leaf's place, or NULL)."""
+    the test in the leaf's place, or NULL). Its logs are written below ``path``, else to the scratch folder."""
     small_batches(spark)
+    path = path or scratch_path(spark, "manifest")
     # Unlike NULL, the key of a NULL group can be joined; it sorts first.
     keyed = leaves.withColumn("_group", F.coalesce(F.concat(F.lit("="), F.col("_group")), F.lit("")))
     rows = numbered(spark, keyed, "_group", ["_id", "_leaf"], "leaves")
-    tiers = _tiers(spark, rows, arrow_type(rows, "_id"), builder_levels, "tier")
+    tiers = _tiers(spark, rows, arrow_type(rows, "_id"), builder_levels, path, "tier")
     roots = tiers[0].where("false").select("_group", F.col("log").alias("_leaf"))
     for tier in tiers:
         done = tier.where(F.col("_run") == 0).where(F.col("_total") <= 1 << builder_levels)
         roots = roots.union(done.select("_group", F.expr(f"substring(log, -{DIGEST}, {DIGEST})").alias("_leaf")))
     named = roots.select(F.lit("").alias("_group"), F.col("_group").alias("_id"), "_leaf", F.lit(None).cast("binary").alias("_claim"))
     group_rows = numbered(spark, named, "_group", ["_id"], "roots")
-    return Manifest(tiers, _tiers(spark, group_rows, pa.string(), builder_levels, "root_tier"), builder_levels)
+    group_tiers = _tiers(spark, group_rows, pa.string(), builder_levels, path, "root_tier")
+    about = spark.range(1).select(*(F.lit(n).alias(c) for c, n in zip(ABOUT, (len(tiers), len(group_tiers), builder_levels))))
+    about.write.parquet(f"{path}/about")
+    return Manifest(tiers, group_tiers, builder_levels)
+
+
+def open_manifest(spark: SparkSession, path: str) -> Manifest:
+    """A manifest written before."""
+    small_batches(spark)
+    tiers, group_tiers, builder_levels = spark.read.parquet(f"{path}/about").select(*ABOUT).first()
+    read = lambda name, n: [spark.read.parquet(f"{path}/{name}_{i}") for i in range(n)]
+    return Manifest(read("tier", tiers), read("root_tier", group_tiers), builder_levels)
+
+
+def root_of(manifest: Manifest) -> str | None:
+    """The root in hex; an empty manifest has none."""
+    top = _tops(manifest.group_tiers, manifest.builder_levels)[-1].first()
+    return None if top is None else bytes(top["_top"]).hex()
 
 
 # --- proofs -------------------------------------------------------------------------------
@@ -264,10 +289,17 @@ def _run_paths(spark: SparkSession, manifest: Manifest) -> DataFrame:
         below = stored(spark, _down(tier, above, levels, by_id=False), "paths")
 
 
-def proofs(spark: SparkSession, manifest: Manifest) -> DataFrame:
-    """One row per leaf: ``_group``, ``_id``, ``_leaf``, ``_claim``, ``_path``, ``_subroot``, ``_root``."""
+def proofs(spark: SparkSession, manifest: Manifest, ids: DataFrame | None = None) -> DataFrame:
+    """One row per leaf: ``_group``, ``_id``, ``_leaf``, ``_claim``, ``_path``, ``_subroot``, ``_root``.
+
+    With ``ids`` (one column) only those leaves; logs of other runs are not opened.
+    """
     levels = manifest.builder_levels
     lowest = manifest.tiers[0]
+    if ids is not None:
+        ids = ids.toDF("_id").distinct()
+        held = lowest.select("_group", "_run", F.explode("ids").alias("_id")).join(ids, "_id", "left_semi")
+        lowest = lowest.join(held.select("_group", "_run").distinct(), ["_group", "_run"], "left_semi")
     joined = lowest.join(_run_paths(spark, manifest), ["_group", "_run"])
     element = lowest.schema["ids"].dataType.elementType.simpleString()
     id_type = arrow_type(lowest, "ids").value_type
@@ -291,7 +323,8 @@ def proofs(spark: SparkSession, manifest: Manifest) -> DataFrame:
                 )
 
     kind = f"_group string, _id {element}, _leaf binary, _claim binary, _path binary, _subroot binary, _root binary"
-    return joined.mapInArrow(extract, kind)
+    found = joined.mapInArrow(extract, kind)
+    return found if ids is None else found.join(ids, "_id", "left_semi").select(found.columns)
 
 
 def verify(proven: DataFrame) -> DataFrame:
