@@ -294,22 +294,27 @@ def _near(block: _Block, terms: np.ndarray, span: int) -> Iterator[tuple[int, in
             yield d, best[1] - first, best[1] - first + best[0]
 
 
-def _near_documents(block: _Block, terms: np.ndarray, span: int) -> np.ndarray:
-    """Documents of the block in which all terms lie within ``span`` words."""
-    lists = sorted((block.postings(t) for t in terms), key=len)
-    at = lists[0]
+def _close(at: np.ndarray, there: np.ndarray, span: int) -> np.ndarray:
+    """Positions that have one of the others less than ``span`` words away."""
+    found = np.searchsorted(there, at - span + 1)
+    return at[(found < len(there)) & (there[np.minimum(found, len(there) - 1)] < at + span)]
+
+
+def _near_documents(block: _Block, rarest: int, at: np.ndarray, others: np.ndarray, span: int) -> np.ndarray:
+    """Documents of the block in which all terms lie within ``span`` words; ``at`` are places of the rarest to look at."""
+    lists = [block.postings(rarest), *sorted((block.postings(t) for t in others), key=len)]
     for there in lists[1:]:
-        found = np.searchsorted(there, at - span + 1)
-        at = at[(found < len(there)) & (there[np.minimum(found, len(there) - 1)] < at + span)]
+        at = _close(at, there, span)
         if not len(at):
             return at
     # Such a place starts at one of the terms, at most a span before the rarest: the others must follow in time.
     starts = [at]
     for there in lists[1:]:
-        follow = np.searchsorted(at, there)
-        inside = follow < len(at)
-        starts.append(there[inside][at[follow[inside]] < there[inside] + span])
-    starts = np.concatenate(starts)
+        first, many = np.searchsorted(there, at - span + 1), np.searchsorted(there, at)
+        many -= first
+        ends = np.cumsum(many)
+        starts.append(there[np.repeat(first - ends + many, many) + np.arange(ends[-1])])
+    starts = np.unique(np.concatenate(starts))
     last = np.minimum(starts + span, block.starts[block.document(starts) + 1])
     for there in lists:
         found = np.searchsorted(there, starts)
@@ -319,16 +324,33 @@ def _near_documents(block: _Block, terms: np.ndarray, span: int) -> np.ndarray:
 
 
 def _near_items(block: _Block, pack: _Pack, span: int) -> dict[int, set]:
-    """Items by document whose phrase's words lie within ``span`` words."""
+    """Items by document whose phrase's words lie within ``span`` words.
+
+    The windows of an item share most words, so the two rarest are looked up once for all that have them.
+    """
     numbers = np.fromiter((block.number.get(t, -1) for t in pack.terms), np.int32, len(pack.terms))
-    out = defaultdict(set)
+    counts = block.count(numbers)
+    out, pairs = defaultdict(set), {}  # items by document; positions of a word that have another near them
     for phrases, owners in pack.phrases.values():
-        for i in np.flatnonzero(numbers[phrases].min(axis=1) >= 0):
-            terms = np.unique(numbers[phrases[i]])
-            if len(terms) <= span:
-                for d in _near_documents(block, terms, span).tolist():
-                    out[d].update(owners[i])
-    return out
+        there = numbers[phrases]
+        rows = np.flatnonzero(there.min(axis=1) >= 0)
+        if not len(rows):
+            continue
+        order = np.argsort(counts[phrases[rows]], axis=1, kind="stable")
+        rarest, second = (there[rows, order[:, min(k, order.shape[1] - 1)]].tolist() for k in (0, 1))
+        for i, a, b in zip(rows.tolist(), rarest, second):
+            at = pairs.get((a, b))
+            if at is None:
+                at = pairs[a, b] = _close(block.postings(a), block.postings(b), span)
+            # What an earlier window has found of a document need not be found again.
+            if len(at):
+                at = at[[not out[d].issuperset(owners[i]) for d in block.document(at).tolist()]]
+            if len(at):
+                terms = np.unique(there[i])
+                if len(terms) <= span:
+                    for d in _near_documents(block, a, at, terms[terms != a], span).tolist():
+                        out[d].update(owners[i])
+    return {d: found for d, found in out.items() if found}
 
 
 def contamination(
