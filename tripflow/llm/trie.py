@@ -37,6 +37,7 @@ ID = 16  # bytes of a turn's digest
 BLOCK = 32
 CHUNK_BYTES = 1 << 20
 SHARD_BYTES = 32 << 20
+EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 # --- rebuilding ---------------------------------------------------------------------------
@@ -248,8 +249,8 @@ def sort_and_compare(turns: np.ndarray, length: np.ndarray) -> tuple[np.ndarray,
 
 
 def shard_nodes(length, shared, weight, least) -> tuple:
-    """Nodes of sorted sequences in preorder: row, depth, ``n_convs``, ``conv_id``, end of the subtree, number of children,
-    leaves below. The caller's root is not among them.
+    """Nodes of sorted sequences in preorder: row, depth, ``n_convs``, ``conv_id`` and the end of the subtree. The root is
+    not among them.
 
     A depth's nodes start where the mask is set; sequences longer than what they share with either neighbour are nodes of
     their own from there on and need no column.
@@ -395,16 +396,13 @@ def _nodes_of(shard: dict, shape: pa.Schema) -> pa.RecordBatch:
     nodes = [names[i] if e else None for i, e in enumerate(edge.tolist())]
     parent_nodes = [names[p] if e else None for p, e in zip(parent.tolist(), parent_edge.tolist())]
     parent_ids = [None if e else int(small[p]) for p, e in zip(parent.tolist(), parent_edge.tolist())]
-    done = [None if e else x or EMPTY for x, e in zip(ends.tolist(), edge.tolist())]
-    done = [x if e else y for x, y, e in zip(ends.tolist(), done, edge.tolist())]
+    # Another shard may hold the sequence that ends at a boundary node.
+    done = [x if e else x or EMPTY for x, e in zip(ends.tolist(), edge.tolist())]
     columns = [nodes, parent_nodes, edge, small, depth, parent_ids, n, children, leaves, saved, done]
     values = [[shard["shard"]] * (total + 1), *([r, *c] for r, c in zip(root, columns))]
     return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, shape)], schema=shape)
 
 
-EMPTY = hashlib.sha256(b"").hexdigest()
-
-
 def prefix_nodes(spark: SparkSession, distinct: DataFrame) -> DataFrame:
     """One row per node: ``conv_id``, ``depth``, ``parent_conv_id``, ``n_convs``, ``n_children``, ``n_leaves``,
     ``saved_tokens``, ``ends_sha256``."""
