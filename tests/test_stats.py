@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.plans import SMALL_SKEW, final_plan, settings
+from tripflow.operators import stats
 from tripflow.operators.regress import fit_price, fit_price_ml, model_metrics
 from tripflow.operators.sample import hash_sample, sample_rows
 from tripflow.operators.stats import _spearman, correlate, correlation_screen
@@ -75,6 +76,62 @@ def test_correlation_edge_cases(spark):
         correlate(flat, "a", "b", "kendall")
 
 
+def test_screen_keeps_one_row_per_row_whatever_the_features(spark, monkeypatch):
+    """Rows are not stored once more for each feature, nor the label's values."""
+    kept, plain = [], stats.stored
+
+    def counted(df, name):
+        found = plain(df, name)
+        kept.append(found.count())
+        return found
+
+    monkeypatch.setattr(stats, "stored", counted)
+    n, cycles = 3000, (50, 7, 11)
+    df = spark.range(n).select(
+        ((F.col("id") * 7919) % 100_003 / 4).alias("y"), *[(F.col("id") % c).cast("double").alias(f"f{c}") for c in cycles]
+    )
+    assert len(correlation_screen(df, "y", [f"f{c}" for c in cycles]).collect()) == 3
+    # The rows, and twice (counted, ranked) the distinct values of the features.
+    assert sum(kept) == n + 2 * sum(cycles)
+
+
+def test_screen_of_features_with_their_own_nulls_ties_and_offsets(spark):
+    rng = np.random.default_rng(17)
+    n = 6000
+    frame = pd.DataFrame({"y": rng.normal(0, 1, n) + 1e8, "x": rng.normal(0, 1, n), "tied": rng.integers(0, 4, n) * 1.0})
+    frame["x"] = frame["x"] + 0.5 * (frame["y"] - 1e8) - 1e8
+    frame["rare"] = np.where(rng.random(n) < 0.02, rng.random(n), np.nan)
+    frame["tied_nulls"] = np.where(frame["y"] > 1e8 + 0.3, np.nan, frame["tied"] + (frame["y"] > 1e8))
+    frame.loc[rng.random(n) < 0.3, "y"] = 1e8 - 0.25  # one label holds a third
+    frame.loc[rng.random(n) < 0.05, "y"] = np.nan
+    features = ["x", "tied", "rare", "tied_nulls", "x"]
+    df = spark.createDataFrame(frame)
+    df = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in df.columns])
+    df = df.withColumns({"none": F.lit(None).cast("double"), "flat": F.lit(2.0)})
+    ways = [{}, {**SMALL_SKEW, "spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}]
+    for way in ways:
+        with settings(spark, way):
+            got = correlation_screen(df.repartition(5), "y", [*features, "none", "flat"]).collect()
+            flat = correlation_screen(df, "flat", ["x"]).collect()
+        assert sorted(r["feature"] for r in got) == sorted([*features, "none", "flat"])
+        for r in got:
+            if r["feature"] == "none":
+                assert (r["n"], r["pearson"], r["spearman"]) == (0, None, None)
+                continue
+            if r["feature"] == "flat":
+                assert (r["n"], r["pearson"], r["spearman"]) == (frame["y"].notna().sum(), None, None)
+                continue
+            pairs = frame[["y", r["feature"]]].dropna()
+            centred = pairs - pairs.mean()
+            assert r["n"] == len(pairs)
+            assert r["pearson"] == pytest.approx(centred["y"].corr(centred[r["feature"]]), abs=1e-9)
+            assert r["spearman"] == pytest.approx(average_rank_correlation(frame, "y", r["feature"]), abs=1e-12)
+        assert [(r["pearson"], r["spearman"]) for r in flat] == [(None, None)]
+    empty = df.where("y < 0")
+    assert [r["n"] for r in correlation_screen(empty, "y", ["x", "rare"]).collect()] == [0, 0]
+    assert correlate(empty, "y", "x", "spearman").collect() == []
+
+
 def test_closed_form_equals_spark_ml_per_group(spark, trips):
     fitted = {r["taxi_type"]: r for r in fit_price(trips, by=["taxi_type"]).collect()}
     assert set(fitted) == {"green", "yellow", "fhv"}
